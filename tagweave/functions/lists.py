@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagweave.fixed import (
@@ -61,40 +61,48 @@ def _weighted(values: Column, prefix: str, weight: float) -> Column:
     )
 
 
-def with_features(
-    df: DataFrame, primary: Column, secondary: Column, descriptors: Column, tags: Column
-) -> DataFrame:
-    """Add the ``features`` map: fixed weights for the three lists, occurrences for ``tags``.
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
 
-    Occurrences come from run lengths of the sorted tag list, so the cost per row is that of a
-    sort even for rows with tens of thousands of tags, and no row leaves its partition. Each
-    helper column is read more than once by the next step, which keeps the optimizer from
-    inlining (and re-evaluating) it inside the element-wise lambdas.
+    The optimizer may copy the expression behind a column into every place that reads it, even
+    inside an element-wise lambda, where it would be evaluated again for each element. A lambda
+    variable cannot be replaced that way.
     """
-    out = df.withColumn("_sorted", F.array_sort(drop_empty(tags)))
-    size = F.size("_sorted")
-    first_of_run = lambda i: (i == 1) | (
-        F.get(F.col("_sorted"), i - 1) != F.get(F.col("_sorted"), i - 2)
-    )
-    out = out.withColumn(
-        "_starts",
-        F.when(size > 0, F.filter(F.sequence(F.lit(1), size), first_of_run)).otherwise(
-            F.array().cast("array<int>")
-        ),
-    )
-    runs = F.transform(
-        F.col("_starts"),
-        lambda start, k: F.struct(
-            F.concat(F.lit(TAG_PREFIX), F.get(F.col("_sorted"), start - 1)).alias("key"),
-            (F.coalesce(F.get(F.col("_starts"), k + 1), size + 1) - start)
-            .cast("float")
-            .alias("value"),
-        ),
-    )
-    entries = F.concat(
-        _weighted(primary, PRIMARY_PREFIX, PRIMARY_FEATURE_WEIGHT),
-        _weighted(secondary, SECONDARY_PREFIX, SECONDARY_FEATURE_WEIGHT),
-        _weighted(descriptors, DESCRIPTOR_PREFIX, DESCRIPTOR_FEATURE_WEIGHT),
-        runs,
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _runs(in_order: Column) -> Column:
+    """Features of a sorted tag list: prefixed tag and length of its run."""
+    size = F.size(in_order)
+
+    def first_of_run(i: Column) -> Column:
+        return (i == 1) | (F.get(in_order, i - 1) != F.get(in_order, i - 2))
+
+    def entries(starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda start, k: F.struct(
+                F.concat(F.lit(TAG_PREFIX), F.get(in_order, start - 1)).alias("key"),
+                (F.coalesce(F.get(starts, k + 1), size + 1) - start).cast("float").alias("value"),
+            ),
+        )
+
+    places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+    return let(F.filter(places, first_of_run), entries)
+
+
+def feature_map(primary: Column, secondary: Column, descriptors: Column, tags: Column) -> Column:
+    """Fixed weights for the three lists, occurrences for ``tags``.
+
+    Occurrences come from run lengths of the sorted tag list, so a row costs a sort even when it
+    has tens of thousands of tags, and no row leaves its partition. The four prefixes differ, so
+    the keys are unique.
+    """
+    return F.map_from_entries(
+        F.concat(
+            _weighted(primary, PRIMARY_PREFIX, PRIMARY_FEATURE_WEIGHT),
+            _weighted(secondary, SECONDARY_PREFIX, SECONDARY_FEATURE_WEIGHT),
+            _weighted(descriptors, DESCRIPTOR_PREFIX, DESCRIPTOR_FEATURE_WEIGHT),
+            let(F.sort_array(drop_empty(tags)), _runs),
+        )
     )
-    return out.withColumn("features", F.map_from_entries(entries)).drop("_sorted", "_starts")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.fixed import MAX_SIMILAR, MIN_CRAWL_TAG_LENGTH, NOISE_TAGS
+from tagweave.functions.lists import let
 from tagweave.functions.params import parse_count, parse_int
 from tagweave.functions.text import cache_key, clean_tag
 from tagweave.schemas import SIMILAR
@@ -26,6 +27,17 @@ def similar_list(similar: Column) -> Column:
     )
 
 
+def _last_weights(in_order: Column) -> Column:
+    """Of tags sorted by (name, index), the last of each name with its weight."""
+    last = F.filter(
+        in_order,
+        lambda t, i: (i + 1 == F.size(in_order)) | (F.get(in_order, i + 1)["name"] != t["name"]),
+    )
+    return F.transform(
+        last, lambda t: F.struct(t["name"].alias("key"), t["weight"].alias("value"))
+    )
+
+
 def clean_crawl(raw: DataFrame) -> DataFrame:
     """Raw crawl results to cache entries; items that were not found keep null contents.
 
@@ -42,21 +54,13 @@ def clean_crawl(raw: DataFrame) -> DataFrame:
         named,
         lambda t: (F.length(t["name"]) >= MIN_CRAWL_TAG_LENGTH) & ~t["name"].isin(NOISE_TAGS),
     )
-    with_tags = raw.withColumn("_useful", useful).withColumn("_sorted", F.array_sort("_useful"))
-    following = lambda i: F.get(F.col("_sorted"), i + 1)["name"]
-    last = F.filter(
-        F.col("_sorted"),
-        lambda t, i: (i + 1 == F.size("_sorted")) | (following(i) != t["name"]),
-    )
-    weights = F.map_from_entries(
-        F.transform(last, lambda t: F.struct(t["name"].alias("key"), t["weight"].alias("value")))
-    )
+    weights = F.map_from_entries(let(F.sort_array(useful), _last_weights))
     found = F.coalesce(F.col("found"), F.lit(False))
-    return with_tags.select(
+    return raw.select(
         "cache_key",
         found.alias("found"),
         F.when(found, weights).alias("tags"),
-        F.when(found, F.transform("_useful", lambda t: t["name"])).alias("tag_list"),
+        F.when(found, F.transform(useful, lambda t: t["name"])).alias("tag_list"),
         F.when(found, similar_list(F.col("similar"))).alias("similar_albums"),
         F.when(found, parse_count(F.col("playcount"))).alias("playcount"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.fixed import EXTERNAL_DESCRIPTORS, EXTERNAL_RELEASE_TYPE, EXTERNAL_SOURCE
-from tagweave.functions.lists import no_strings, tag_names, with_features
+from tagweave.functions.lists import feature_map, no_strings, tag_names
 from tagweave.functions.params import parse_count
 from tagweave.functions.text import norm
 from tagweave.operators.features import conform
@@ -66,10 +66,8 @@ def external_items(items: DataFrame, feed: DataFrame) -> DataFrame:
             "lastfm_similar_albums": F.coalesce("similar_albums", F.array().cast(SIMILAR)),
         }
     ).withColumn("descriptors", F.slice("_names", 1, EXTERNAL_DESCRIPTORS))
-    featured = with_features(
-        shaped, no_strings(), no_strings(), F.col("descriptors"), F.col("_names")
-    )
-    return conform(featured)
+    features = feature_map(no_strings(), no_strings(), F.col("descriptors"), F.col("_names"))
+    return conform(shaped.withColumn("features", features))
 
 
 def append_external(items: DataFrame, feed: DataFrame | None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.fixed import DESCRIPTOR_PREFIX, PRIMARY_PREFIX, SECONDARY_PREFIX, TAG_PREFIX
-from tagweave.functions.lists import no_strings, or_empty, parse_list, with_features
+from tagweave.functions.lists import feature_map, or_empty, parse_list
 from tagweave.schemas import ITEMS
 
 LIST_COLUMNS = ("primary_genres", "secondary_genres", "descriptors")
@@ -39,16 +39,10 @@ def conform(items: DataFrame) -> DataFrame:
 def build_items(raw: DataFrame, enrichment: DataFrame | None = None) -> DataFrame:
     """Raw catalogue to items: parse, attach tags, build feature maps, project with casts."""
     parsed = attach_tags(parse_lists(raw), enrichment)
-    featured = with_features(
-        parsed,
-        F.col("primary_genres"),
-        F.col("secondary_genres"),
-        F.col("descriptors"),
-        or_empty(F.col("lastfm_tags")),
-    )
     return conform(
-        featured.withColumns(
+        parsed.withColumns(
             {
+                "features": feature_map(*[F.col(c) for c in LIST_COLUMNS], F.col("lastfm_tags")),
                 "avg_rating": F.coalesce(F.col("avg_rating").cast("double"), F.lit(0.0)),
                 "rating_count": F.coalesce(F.col("rating_count").cast("int"), F.lit(0)),
             }
@@ -105,16 +99,3 @@ def enriched_item_count(items: DataFrame) -> DataFrame:
     has_tag = F.exists(F.map_keys("features"), lambda k: F.contains(k, F.lit(TAG_PREFIX)))
     return items.agg(F.count_if(has_tag).alias("enriched"), F.count(F.lit(1)).alias("items"))
 
-
-__all__ = [
-    "attach_tags",
-    "build_items",
-    "conform",
-    "enriched_item_count",
-    "feature_vocabulary",
-    "features_long",
-    "list_vocabulary",
-    "no_strings",
-    "parse_lists",
-    "vocabulary_counts",
-]

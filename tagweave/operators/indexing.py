@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SPAN = 65_536
+BUCKET_BITS = 16
 
 
 def dense_index(
@@ -13,12 +13,12 @@ def dense_index(
     value: str,
     out: str,
     within: str | None = None,
-    span: int = BUCKET_SPAN,
+    bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """Number rows 1..n in the order of (``within``, ``value``).
 
-    ``value`` must be an integer, unique inside ``within``. Rows fall into buckets of ``span``
-    consecutive values, so no bucket can hold more than ``span`` rows whatever the data. Only
+    ``value`` must be an integer, unique inside ``within``. Rows fall into buckets of
+    ``2^bits`` consecutive values, so no bucket can hold more rows than that whatever the data. Only
     the per-bucket counts are summed up in order: positions are 32-bit, so at most 2^31 rows,
     which fill at most a few ten thousand buckets. Bucket membership depends on the values
     alone; a recomputed task gives the same numbers, and nothing has to be persisted.
@@ -27,7 +27,7 @@ def dense_index(
     bucketed = df.withColumns(
         {
             "_within": F.col(within).cast("int") if within else F.lit(0),
-            "_bucket": F.floor(F.col(value) / F.lit(span)).cast("bigint"),
+            "_bucket": F.shiftright(F.col(value).cast("bigint"), bits),
         }
     )
     counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

@@ -26,7 +26,8 @@ def item_detail(items: DataFrame, position: int) -> DataFrame:
 
 def lookup(items: DataFrame, requests: DataFrame) -> DataFrame:
     """Details for a table of (request_id, position); unknown positions give no row."""
-    return requests.select("request_id", "position").join(items.select(*DETAIL), "position")
+    wanted = requests.select("request_id", F.col("position").try_cast("int").alias("position"))
+    return wanted.join(items.select(*DETAIL), "position")
 
 
 def find_exact(items: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def search_index(items: DataFrame) -> DataFrame:
             F.min("best").alias("best"),
             F.count(F.lit(1)).cast("int").alias("variant_count"),
             F.min("position").alias("min_position"),
-            F.array_sort(F.collect_set("alias")).alias("aliases"),
+            F.sort_array(F.collect_set("alias")).alias("aliases"),
         )
     )
     return groups.select(

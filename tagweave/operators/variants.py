@@ -79,7 +79,7 @@ def merged_contents(items: DataFrame, groups: DataFrame) -> DataFrame:
         .groupBy("position")
         .agg(
             F.map_from_entries(F.collect_list(feature)).alias("merged_features"),
-            F.transform(F.array_sort(F.collect_list(later)), lambda x: x["key"]).alias(
+            F.transform(F.sort_array(F.collect_list(later)), lambda x: x["key"]).alias(
                 "later_descriptors"
             ),
         )
