@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from tagweave.fixed import VARIANT_KEYWORDS
 
-# Unicode white space plus the four ASCII separators that Java's \s leaves out
-_SPACE = r"[\s\x1c-\x1f]"
-_RUNS = rf"(?U){_SPACE}+"
-_ENDS = rf"(?U)\A{_SPACE}+|{_SPACE}+\z"
+# White space: the Unicode characters of that property, and the four ASCII separators
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+WHITE_SPACE_RUN = rf"[{_SPACES}]+"
 _WORD = r"[\p{L}\p{N}_]"
 
 _BRACKETED = rf"(?iU)\s*[\[(].*?(?:{VARIANT_KEYWORDS}).*?[\])]$"
@@ -20,12 +23,12 @@ _WHOLE_WORD = rf"(?iU)(?<!{_WORD})(?:{VARIANT_KEYWORDS})(?!{_WORD})"
 
 def strip(value: Column) -> Column:
     """Remove white space at both ends."""
-    return F.regexp_replace(value, _ENDS, "")
+    return F.btrim(value, F.lit(_SPACES))
 
 
 def collapse(value: Column) -> Column:
     """Turn each run of white space into one space, none at the ends."""
-    return F.trim(F.regexp_replace(value, _RUNS, " "))
+    return F.trim(F.regexp_replace(value, WHITE_SPACE_RUN, " "))
 
 
 def norm(value: Column) -> Column:

@@ -9,6 +9,7 @@ from tagweave.fixed import MAX_SIMILAR, MIN_CRAWL_TAG_LENGTH, NOISE_TAGS
 from tagweave.functions.lists import let
 from tagweave.functions.params import parse_count, parse_int
 from tagweave.functions.text import cache_key, clean_tag
+from tagweave.operators.skew import spread_join
 from tagweave.schemas import SIMILAR
 
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
@@ -111,10 +112,19 @@ def apply_crawl_cache(
         return cached
     absent = states.filter(F.col("state") == "absent").select("position", "cache_key")
     # the first item of a key is the one that fetches; later ones find its entry in the cache
-    firsts = absent.groupBy("cache_key").agg(F.min("position").alias("_first"))
-    entries = fetched.filter("found").dropDuplicates(["cache_key"]).join(firsts, "cache_key")
+    keys = absent.groupBy("cache_key").agg(
+        F.min("position").alias("_first"), F.count(F.lit(1)).alias("rows")
+    )
+    entries = (
+        fetched.filter("found")
+        .dropDuplicates(["cache_key"])
+        .join(keys.drop("rows"), "cache_key")
+    )
     keep_similar = (F.size("similar_albums") > 0) | (F.col("position") > F.col("_first"))
-    fresh = absent.join(entries, "cache_key").select(
+    tagged = spread_join(
+        absent, entries, ["cache_key"], spread_by="position", counts=keys.drop("_first")
+    )
+    fresh = tagged.select(
         "position",
         "tag_list",
         F.when(keep_similar, F.col("similar_albums")).alias("similar_albums"),

@@ -31,25 +31,29 @@ def named_records(feed: DataFrame) -> DataFrame:
 
 
 def new_records(items: DataFrame, feed: DataFrame) -> DataFrame:
-    """First record per key, for keys the catalogue lacks.
+    """(source_rank, record_seq) of the first record per key, for keys the catalogue lacks.
 
-    ``row_number() = 1`` is limited per map task before the shuffle, so a key that fills a
-    third of the feed sends one row per task. The anti-join reuses the window's partitioning.
+    Only names take part, never tags. ``row_number() = 1`` is limited per map task before the
+    shuffle, so a key that fills a third of the feed sends one row per task. The anti-join
+    reuses the window's partitioning.
     """
+    named = named_records(feed).select("source_rank", "record_seq", "artist_name", "release_name")
     order = Window.partitionBy(*KEYS).orderBy("source_rank", "record_seq")
     first = (
-        _with_keys(named_records(feed))
-        .withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") == 1)
-        .drop("_n")
+        _with_keys(named).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1)
     )
     known = _with_keys(items).select(*KEYS).distinct()
-    return first.join(known, KEYS, "left_anti")
+    return first.join(known, KEYS, "left_anti").select("source_rank", "record_seq")
 
 
 def external_items(items: DataFrame, feed: DataFrame) -> DataFrame:
-    """The new records as items, numbered on from the catalogue's last position."""
-    numbered = dense_index(new_records(items, feed), "record_seq", "_number", within="source_rank")
+    """The new records as items, numbered on from the catalogue's last position.
+
+    Which records are kept, and under which number, is settled on narrow rows; the wide ones
+    are then shuffled once, to meet their number.
+    """
+    numbers = dense_index(new_records(items, feed), "record_seq", "_number", within="source_rank")
+    numbered = feed.join(numbers, ["source_rank", "record_seq"])
     last = items.agg(F.coalesce(F.max("position"), F.lit(0)).alias("last")).scalar()
     shaped = numbered.withColumns(
         {

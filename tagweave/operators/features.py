@@ -51,8 +51,13 @@ def build_items(raw: DataFrame, enrichment: DataFrame | None = None) -> DataFram
 
 
 def features_long(items: DataFrame) -> DataFrame:
-    """One row per (position, feature)."""
-    return items.select("position", F.explode("features").alias("feature", "weight"))
+    """One row per (position, feature).
+
+    A plain ``explode`` first filters on the size of the map, which builds each map twice when
+    the items are not stored yet; the outer form does not.
+    """
+    rows = items.select("position", F.explode_outer("features").alias("feature", "weight"))
+    return rows.filter(F.col("feature").isNotNull())
 
 
 def feature_vocabulary(items: DataFrame) -> DataFrame:

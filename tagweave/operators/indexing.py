@@ -9,7 +9,7 @@ BUCKET_BITS = 16
 
 
 def dense_index(
-    df: DataFrame,
+    keys: DataFrame,
     value: str,
     out: str,
     within: str | None = None,
@@ -17,27 +17,29 @@ def dense_index(
 ) -> DataFrame:
     """Number rows 1..n in the order of (``within``, ``value``).
 
-    ``value`` must be an integer, unique inside ``within``. Rows fall into buckets of
-    ``2^bits`` consecutive values, so no bucket can hold more rows than that whatever the data. Only
-    the per-bucket counts are summed up in order: positions are 32-bit, so at most 2^31 rows,
-    which fill at most a few ten thousand buckets. Bucket membership depends on the values
-    alone; a recomputed task gives the same numbers, and nothing has to be persisted.
+    ``keys`` should be narrow: it is read twice and shuffled once, and the numbers are meant to
+    be joined to the wide rows. ``value`` must be an integer, unique inside ``within``. Rows fall
+    into buckets of ``2^bits`` consecutive values, so no bucket can hold more rows than that
+    whatever the data. Only the per-bucket counts are summed up in order: positions are 32-bit,
+    so at most 2^31 rows, which fill at most a few ten thousand buckets. Bucket membership
+    depends on the values alone; a recomputed task gives the same numbers, and nothing has to be
+    persisted.
     """
-    keys = ["_within", "_bucket"]
-    bucketed = df.withColumns(
+    place = ["_within", "_bucket"]
+    bucketed = keys.withColumns(
         {
             "_within": F.col(within).cast("int") if within else F.lit(0),
             "_bucket": F.shiftright(F.col(value).cast("bigint"), bits),
         }
     )
-    counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        *place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
+    local = F.row_number().over(Window.partitionBy(*place).orderBy(value))
     return (
-        bucketed.join(offsets, keys)
+        bucketed.join(offsets, place)
         .withColumn(out, (F.col("_offset") + local).cast("int"))
-        .drop(*keys, "_offset")
+        .drop(*place, "_offset")
     )

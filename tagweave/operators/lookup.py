@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.operators.skew import spread_join
+
 DETAIL = [
     "position",
     "artist_name",
@@ -34,7 +36,8 @@ def find_exact(items: DataFrame, pairs: DataFrame) -> DataFrame:
     """First item whose names equal (request_id, artist, title) apart from case.
 
     Items are reduced to the first position per name pair before the join, so each request
-    meets at most one row however often a pair occurs on either side.
+    meets at most one row however often a pair occurs among the items; pairs that many requests
+    ask for are spread.
     """
     keys = ["_artist", "_title"]
     first = items.groupBy(
@@ -43,5 +46,5 @@ def find_exact(items: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select(
         "request_id", F.lower("artist").alias("_artist"), F.lower("title").alias("_title")
     )
-    found = wanted.join(first, keys).select("request_id", "position")
-    return found.join(items.select(*DETAIL), "position")
+    found = spread_join(wanted, first, keys, spread_by="request_id")
+    return found.select("request_id", "position").join(items.select(*DETAIL), "position")

@@ -10,6 +10,7 @@ from tagweave.functions.lists import or_empty
 from tagweave.functions.text import norm_title
 from tagweave.operators.features import conform
 from tagweave.operators.indexing import dense_index
+from tagweave.operators.skew import spread_join
 
 GROUP_KEYS = ["_artist", "_title"]
 _NO_FEATURES = "map<string,float>"
@@ -37,16 +38,18 @@ def variant_groups(items: DataFrame) -> DataFrame:
 def merged_contents(items: DataFrame, groups: DataFrame) -> DataFrame:
     """Per group with several members: summed features, and the descriptors its base lacks.
 
-    Members are tagged with the base position (groups hold one row per key, so a hot group is
-    split by the skew join), then reduced per (group, feature) and (group, descriptor) with
+    Members are tagged with the base position (a hot group is spread over several tasks by its
+    known size), then reduced per (group, feature) and (group, descriptor) with
     map-side partial aggregation. Only those reduced rows meet per group. A descriptor's place
     is the smallest ``position << 32 | index``, a plain bigint, so hash aggregation applies.
     """
-    several = groups.filter(F.col("members") > 1).select(*GROUP_KEYS, "base")
-    members = (
-        with_group_keys(items)
-        .select("position", *GROUP_KEYS, "features", "descriptors")
-        .join(several, GROUP_KEYS)
+    several = groups.filter(F.col("members") > 1)
+    members = spread_join(
+        with_group_keys(items).select("position", *GROUP_KEYS, "features", "descriptors"),
+        several.select(*GROUP_KEYS, "base"),
+        GROUP_KEYS,
+        spread_by="position",
+        counts=several.select(*GROUP_KEYS, F.col("members").alias("rows")),
     )
     place = lambda i: F.col("position").cast("bigint") * F.lit(2**32) + i
     no_place = F.lit(None).cast("bigint")
@@ -87,12 +90,16 @@ def merged_contents(items: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def consolidate_variants(items: DataFrame) -> DataFrame:
-    """Merge each variant group into its first member and renumber positions 1..n."""
+    """Merge each variant group into its first member and renumber positions 1..n.
+
+    The new numbers belong to the narrow group table, so the join that picks the first members
+    brings them along and the wide rows are not shuffled for numbering.
+    """
     groups = variant_groups(items)
-    bases = items.join(groups.select(F.col("base").alias("position"), "members"), "position")
-    contents = merged_contents(items, groups)
+    numbered = dense_index(groups.select("base", "members"), "base", "number")
+    bases = items.join(numbered.withColumnRenamed("base", "position"), "position")
     merged = F.col("members") > 1
-    rows = bases.join(contents, "position", "left").withColumns(
+    rows = bases.join(merged_contents(items, groups), "position", "left").withColumns(
         {
             "features": F.when(merged, F.col("merged_features")).otherwise(F.col("features")),
             "descriptors": F.when(
@@ -107,5 +114,4 @@ def consolidate_variants(items: DataFrame) -> DataFrame:
             ),
         }
     )
-    numbered = dense_index(rows.withColumnRenamed("position", "_base"), "_base", "position")
-    return conform(numbered)
+    return conform(rows.withColumn("position", F.col("number")))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.functions.lists import no_strings
-from tagweave.functions.text import cache_key
+from tagweave.functions.text import WHITE_SPACE_RUN, cache_key
 from tagweave.operators.crawl import apply_crawl_cache, clean_crawl
 from tagweave.operators.features import build_items, conform
 from tagweave.operators.search import search_index
@@ -197,7 +197,7 @@ def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as items whose descriptors are the distinct words of their whole text."""
 
     def build() -> DataFrame:
-        words = F.split(F.lower("text"), r"(?U)[\s\x1c-\x1f]+", -1)
+        words = F.split(F.lower("text"), WHITE_SPACE_RUN, -1)
         return conform(
             table(spark, sf_dir, "documents").select(
                 (F.col("doc_id") + 1).cast("int").alias("position"),
