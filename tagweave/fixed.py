@@ -6,6 +6,10 @@ VARIANT_KEYWORDS = (
     "anniversary|original|explicit|clean"
 )
 
+# --- fixed values: what counts as a variant suffix of a normalized title ---
+BRACKETED_SUFFIX = rf"\s*[\[(].*?(?:{VARIANT_KEYWORDS}).*?[\])]$"
+TRAILING_SUFFIX = rf"\s+(?:{VARIANT_KEYWORDS})\.?$"
+
 # --- fixed values: tags that describe a content version, never a style ---
 CONTENT_VERSION_TAGS = [
     "explicit",

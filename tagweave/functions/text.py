@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagweave.fixed import VARIANT_KEYWORDS
+from tagweave.fixed import BRACKETED_SUFFIX, TRAILING_SUFFIX, VARIANT_KEYWORDS
 
 # White space: the Unicode characters of that property, and the four ASCII separators
 _SPACES = (
@@ -16,8 +16,8 @@ _SPACES = (
 WHITE_SPACE_RUN = rf"[{_SPACES}]+"
 _WORD = r"[\p{L}\p{N}_]"
 
-_BRACKETED = rf"(?iU)\s*[\[(].*?(?:{VARIANT_KEYWORDS}).*?[\])]$"
-_TRAILING = rf"(?iU)\s+(?:{VARIANT_KEYWORDS})\.?$"
+_BRACKETED = f"(?iU){BRACKETED_SUFFIX}"
+_TRAILING = f"(?iU){TRAILING_SUFFIX}"
 _WHOLE_WORD = rf"(?iU)(?<!{_WORD})(?:{VARIANT_KEYWORDS})(?!{_WORD})"
 
 
