@@ -22,6 +22,7 @@ BUILDS = {
     "build_items": star.items,
     "build_tag_index": star.index,
     "build_search_entries": star.entries,
+    "build_gram_postings": star.postings,
     "build_document_items": star.document_items,
     "build_document_index": star.document_index,
 }

@@ -245,7 +245,9 @@ def autocomplete_one(spark, sf):
 
 
 def autocomplete_batch(spark, sf):
-    return search.autocomplete(star.entries(spark, sf), star.search_queries(spark, sf))
+    return search.autocomplete(
+        star.entries(spark, sf), star.search_queries(spark, sf), star.postings(spark, sf)
+    )
 
 
 def lookup_positions(spark, sf):

@@ -67,16 +67,19 @@ def clean_crawl(raw: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(items: DataFrame) -> DataFrame:
+    return items.select(
+        "position", cache_key(F.col("artist_name"), F.col("release_name")).alias("cache_key")
+    )
+
+
 def crawl_states(items: DataFrame, cache: DataFrame) -> DataFrame:
     """Each item with the state of its cache entry and, on a hit, the entry's lists."""
     entries = cache.select(
         "cache_key", F.col("found").alias("_found"), "tag_list", "similar_albums"
     ).withColumn("_cached", F.lit(True))
-    keyed = items.select(
-        "position", cache_key(F.col("artist_name"), F.col("release_name")).alias("cache_key")
-    )
     hit = F.col("_cached") & F.col("_found")
-    return keyed.join(entries, "cache_key", "left").select(
+    return _keyed(items).join(entries, "cache_key", "left").select(
         "position",
         "cache_key",
         F.when(hit, F.lit("hit"))
@@ -104,13 +107,12 @@ def apply_crawl_cache(
     Positions without either have no row. A cached similar list is kept even when empty, a
     fresh one only when it holds something.
     """
-    states = crawl_states(items, cache)
-    cached = states.filter(F.col("state") == "hit").select(
-        "position", "tag_list", "similar_albums"
-    )
+    keyed = _keyed(items)
+    hits = cache.filter("found").select("cache_key", "tag_list", "similar_albums")
+    cached = keyed.join(hits, "cache_key").select("position", "tag_list", "similar_albums")
     if fetched is None:
         return cached
-    absent = states.filter(F.col("state") == "absent").select("position", "cache_key")
+    absent = keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
     # the first item of a key is the one that fetches; later ones find its entry in the cache
     keys = absent.groupBy("cache_key").agg(
         F.min("position").alias("_first"), F.count(F.lit(1)).alias("rows")

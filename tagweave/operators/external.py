@@ -12,6 +12,7 @@ from tagweave.functions.text import norm
 from tagweave.operators.features import conform
 from tagweave.operators.indexing import dense_index
 from tagweave.schemas import SIMILAR
+from tagweave.session import stage
 
 KEYS = ["_artist", "_title"]
 
@@ -50,9 +51,10 @@ def external_items(items: DataFrame, feed: DataFrame) -> DataFrame:
     """The new records as items, numbered on from the catalogue's last position.
 
     Which records are kept, and under which number, is settled on narrow rows; the wide ones
-    are then shuffled once, to meet their number.
+    are then shuffled once, to meet their number. Numbering reads its keys twice: they are staged.
     """
-    numbers = dense_index(new_records(items, feed), "record_seq", "_number", within="source_rank")
+    kept = stage(new_records(items, feed), "new_records")
+    numbers = dense_index(kept, "record_seq", "_number", within="source_rank")
     numbered = feed.join(numbers, ["source_rank", "record_seq"])
     last = items.agg(F.coalesce(F.max("position"), F.lit(0)).alias("last")).scalar()
     shaped = numbered.withColumns(

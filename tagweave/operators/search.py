@@ -96,14 +96,13 @@ def gram_postings(index: DataFrame) -> DataFrame:
     ).select("p.form", "p.gram", "entry")
 
 
-def _matches(index: DataFrame, texts: DataFrame) -> DataFrame:
+def _matches(index: DataFrame, postings: DataFrame, texts: DataFrame) -> DataFrame:
     """Entries per distinct non-empty (q, nq): raw blob contains q, or normalized blob nq.
 
     A containment test is no equi-join, and testing all pairs grows with both sides. Every
     needle is looked up under its rarest gram instead and the few candidates are verified.
     A pair that matches in both forms is kept by the raw one alone.
     """
-    postings = gram_postings(index)
     needles = texts.select(
         "q",
         F.inline(
@@ -152,9 +151,13 @@ def _display() -> Column:
     return F.when(F.col("variant_count") > 1, versions).otherwise(F.col("display"))
 
 
-def autocomplete(index: DataFrame, queries: DataFrame) -> DataFrame:
+def autocomplete(
+    index: DataFrame, queries: DataFrame, postings: DataFrame | None = None
+) -> DataFrame:
     """Suggestions for a table of (request_id, query, limit).
 
+    ``postings`` is ``gram_postings(index)``, best stored next to the index: it is read twice.
+
     Equal normalized queries are answered once, up to the largest legal limit, and joined back
     to their requests, so a query that a third of all requests send costs as much as a rare one.
     The empty text matches every entry: its answer is the head of the whole index.
@@ -168,7 +171,7 @@ def autocomplete(index: DataFrame, queries: DataFrame) -> DataFrame:
     texts = requests.select("q", "nq").distinct().filter(F.col("q") != "")
     order = Window.partitionBy("q").orderBy(*_static_order())
     answers = (
-        _matches(index, texts)
+        _matches(index, gram_postings(index) if postings is None else postings, texts)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SUGGEST_MAX)
         .select("q", "rank", "entry")

@@ -11,6 +11,7 @@ from tagweave.functions.text import norm_title
 from tagweave.operators.features import conform
 from tagweave.operators.indexing import dense_index
 from tagweave.operators.skew import spread_join
+from tagweave.session import stage
 
 GROUP_KEYS = ["_artist", "_title"]
 _NO_FEATURES = "map<string,float>"
@@ -93,9 +94,10 @@ def consolidate_variants(items: DataFrame) -> DataFrame:
     """Merge each variant group into its first member and renumber positions 1..n.
 
     The new numbers belong to the narrow group table, so the join that picks the first members
-    brings them along and the wide rows are not shuffled for numbering.
+    brings them along and the wide rows are not shuffled for numbering. Group sizes, numbers and
+    hot keys are all read from that table, so it is staged instead of grouping five times.
     """
-    groups = variant_groups(items)
+    groups = stage(variant_groups(items), "groups")
     numbered = dense_index(groups.select("base", "members"), "base", "number")
     bases = items.join(numbered.withColumnRenamed("base", "position"), "position")
     merged = F.col("members") > 1

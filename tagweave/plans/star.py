@@ -13,7 +13,7 @@ from tagweave.functions.lists import no_strings
 from tagweave.functions.text import WHITE_SPACE_RUN, cache_key
 from tagweave.operators.crawl import apply_crawl_cache, clean_crawl
 from tagweave.operators.features import build_items, conform
-from tagweave.operators.search import search_index
+from tagweave.operators.search import gram_postings, search_index
 from tagweave.operators.tags import tag_index
 from tagweave.schemas import SIMILAR
 from tagweave.session import stage_once, tune
@@ -165,6 +165,13 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_once(spark, "entries", sf_dir, lambda: search_index(items(spark, sf_dir)))
 
 
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gram postings of the search entries."""
+    return stage_once(
+        spark, "postings", sf_dir, lambda: gram_postings(entries(spark, sf_dir))
+    )
+
+
 def external_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source 0: parts under upper-cased brands. Source 1: documents, in pairs of one title,
     with all space-separated pieces of their text as tags."""

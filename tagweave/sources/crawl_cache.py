@@ -4,26 +4,35 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagweave.operators.crawl import upsert_cache
 from tagweave.schemas import CRAWL_CACHE
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The cache table; empty when it is absent, and unreadable files add no entries."""
+def read_cache(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """The cache table, Parquet or JSON lines; empty when it is absent. Files, or lines, that
+    cannot be read add no entries."""
     try:
-        return (
-            spark.read.schema(CRAWL_CACHE).option("ignoreCorruptFiles", "true").parquet(path)
+        rows = (
+            spark.read.schema(CRAWL_CACHE)
+            .option("ignoreCorruptFiles", "true")
+            .format(format)
+            .load(path)
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], CRAWL_CACHE)
+    return rows.filter(F.col("cache_key").isNotNull())
 
 
-def write_cache(cache: DataFrame, fetched: DataFrame, path: str) -> None:
-    """Old entries plus new ones, written to a new path: readers of the old one are not disturbed."""
-    upsert_cache(cache, fetched).write.parquet(path)
+def write_cache(
+    cache: DataFrame, fetched: DataFrame, path: str, format: str = "parquet"
+) -> None:
+    """Old entries plus new ones, written to a new path: readers of the old one are not
+    disturbed."""
+    upsert_cache(cache, fetched).write.format(format).save(path)
 
 
 def write_similar(edges: DataFrame, path: str) -> None:

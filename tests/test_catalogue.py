@@ -7,6 +7,9 @@ from tagweave import schemas
 from tagweave.operators import crawl, external, features
 from tagweave.operators.features import conform
 from tagweave.operators.indexing import dense_index
+from tagweave.operators.recommend import recommend
+from tagweave.operators.search import search_index, suggest
+from tagweave.operators.tags import tag_index
 from tagweave.operators.variants import consolidate_variants
 from tagweave.plans.build import build_catalogue
 from tagweave.session import shared_folder, stage
@@ -226,6 +229,13 @@ def test_cache_files(spark, tmp_path):
     cleaned = crawl.clean_crawl(spark.createDataFrame(CRAWL, schemas.RAW_CRAWL))
     crawl_cache.write_cache(empty, cleaned, path)
     assert crawl_cache.read_cache(spark, path).count() == 3
+    lines = str(tmp_path / "lines")
+    crawl_cache.write_cache(empty, cleaned, lines, "json")
+    (tmp_path / "lines" / "part-x.json").write_text("{broken\n")
+    again = crawl_cache.read_cache(spark, lines, "json")
+    assert {r.cache_key: r.tags for r in again.collect()} == {
+        r.cache_key: r.tags for r in cleaned.collect()
+    }
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part-0.parquet").write_text("not a table")
     assert crawl_cache.read_cache(spark, str(tmp_path / "bad")).count() == 0
@@ -238,3 +248,31 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5
     assert all(shared_folder(spark).removeprefix("file:") in f for f in staged.inputFiles())
+
+
+def test_files_to_recommendations(spark, tmp_path):
+    """CSV, feed file and crawl table to written items, read back and queried."""
+    source = tmp_path / "in.csv"
+    source.write_text(
+        "position,artist_name,release_name,release_date,release_type,primary_genres,"
+        "secondary_genres,descriptors,avg_rating,rating_count\n"
+        '1,X,Foo,1999,album,"Rock, Pop",NA,dark,4.0,10\n'
+        "2,X,Foo (Deluxe),1999,album,Rock,NA,sad,4.5,3\n"
+        "3,Y,Bar,1999,album,Rock,Jazz,NA,3.0,7\n"
+    )
+    (tmp_path / "feed.json").write_text(
+        json.dumps([{"artist_name": "Z", "release_name": "Zed", "tags": [{"name": "Rock"}]}])
+    )
+    raw = catalogue.read_csv_catalogue(spark, str(source))
+    entry = [("X - Foo", True, [("mellow", "3")], [], "1")]
+    cache = crawl.clean_crawl(spark.createDataFrame(entry, schemas.RAW_CRAWL))
+    records = feed.read_external_feed(spark, [str(tmp_path / "no.json"), str(tmp_path / "feed.json")])
+    built = build_catalogue(raw, crawl.apply_crawl_cache(raw, cache), records)
+    assert catalogue.write_processed(built, str(tmp_path / "out"))["items"] == 3
+    items, _ = catalogue.read_processed(spark, str(tmp_path / "out"))
+    first = items.filter("position = 1").first()
+    assert first.descriptors == ["dark", "sad"] and first.features["tag_mellow"] == 1.0
+    got = recommend(tag_index(items), items, [1]).orderBy("rank").collect()
+    # shared tag rock: primary with primary on Y, primary with descriptor on Z
+    assert [(r.release_name, r.raw_points, r.score) for r in got] == [("Bar", 3.0, 43), ("Zed", 2.0, 29)]
+    assert suggest(search_index(items), "foo", 5).first().display == "X - Foo"
