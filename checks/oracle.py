@@ -619,6 +619,18 @@ def statements() -> dict[str, str]:
                FROM ranked JOIN items USING (position) WHERE rank <= 50""",
             _DOCUMENTS | _ranked(_naive([10, 20])),
         ),
+        "recommend_documents_batch": _with(
+            [],
+            """SELECT request_id, CAST(rank AS INTEGER) AS rank, position, release_name, score,
+                      raw_points, tag_count
+               FROM ranked JOIN items USING (position) WHERE rank <= 10""",
+            _DOCUMENTS
+            | {
+                "chosen": """SELECT CAST(position AS BIGINT) AS request_id, position, 1 AS times
+                             FROM items"""
+            }
+            | _ranked(_BATCH),
+        ),
         "search_index": _with(["entries"], "SELECT * FROM entries"),
         "autocomplete_one": _with(
             ["entries"],

@@ -236,6 +236,15 @@ def recommend_documents(spark, sf):
     )
 
 
+def recommend_documents_batch(spark, sf):
+    index = star.document_index(spark, sf)
+    each = index.select(F.col("position").cast("bigint").alias("request_id"), "position")
+    rows = recommend.recommend_batch(index, star.document_items(spark, sf), each, 10)
+    return rows.select(
+        "request_id", "rank", "position", "release_name", "score", "raw_points", "tag_count"
+    )
+
+
 def search_index(spark, sf):
     return star.entries(spark, sf)
 
@@ -304,6 +313,7 @@ _ALL = [
     recommend_repeat_selection,
     recommend_batch,
     recommend_documents,
+    recommend_documents_batch,
     search_index,
     autocomplete_one,
     autocomplete_batch,

@@ -29,7 +29,8 @@ def test_contract(spark):
 def test_plan_shape(spark, sf_dir, name):
     """No Python operator but the batch scorer, no cross join, no nested-loop join."""
     text = plan(registered()[name](spark, sf_dir))
-    assert bool(PYTHON.search(text)) == (name == "recommend_batch")
+    batch = name in ("recommend_batch", "recommend_documents_batch")
+    assert bool(PYTHON.search(text)) == batch
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
 
