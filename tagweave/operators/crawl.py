@@ -78,7 +78,7 @@ def crawl_states(items: DataFrame, cache: DataFrame) -> DataFrame:
     entries = cache.select(
         "cache_key", F.col("found").alias("_found"), "tag_list", "similar_albums"
     ).withColumn("_cached", F.lit(True))
-    hit = F.col("_cached") & F.col("_found")
+    hit = F.col("_cached") & F.col("_found") & F.col("tag_list").isNotNull()
     return _keyed(items).join(entries, "cache_key", "left").select(
         "position",
         "cache_key",
@@ -108,7 +108,9 @@ def apply_crawl_cache(
     fresh one only when it holds something.
     """
     keyed = _keyed(items)
-    hits = cache.filter("found").select("cache_key", "tag_list", "similar_albums")
+    hits = cache.filter("found AND tag_list IS NOT NULL").select(
+        "cache_key", "tag_list", "similar_albums"
+    )
     cached = keyed.join(hits, "cache_key").select("position", "tag_list", "similar_albums")
     if fetched is None:
         return cached

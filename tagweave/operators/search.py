@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagweave.fixed import SUGGEST_MAX
 from tagweave.functions.params import query_long_enough, suggest_limit
 from tagweave.functions.text import is_variant_title, norm, norm_query, norm_title
+from tagweave.operators.skew import spread_join
 
 GRAM = 3
 _STATIC_ORDER = ["variant_count", "artist_name", "release_name", "min_position"]
@@ -126,7 +127,8 @@ def _matches(index: DataFrame, postings: DataFrame, texts: DataFrame) -> DataFra
         .select("form", "needle", F.col("rarest.gram").alias("gram"))
     )
     candidates = (
-        needles.join(rarest, ["form", "needle"])
+        # many queries may differ in keywords only and share a needle
+        spread_join(needles, rarest, ["form", "needle"], spread_by="q")
         .join(postings, ["form", "gram"])
         .select("q", "form", "needle", "entry")
     )

@@ -27,15 +27,23 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def by_position(df: DataFrame) -> DataFrame:
+    """``df`` laid out in order of position: once written, a filter on it skips row groups."""
+    return df.repartitionByRange("position").sortWithinPartitions("position")
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """The tag index, to be read by every request."""
+    by_position(index).write.parquet(path)
+
+
 def write_processed(items: DataFrame, path: str) -> dict[str, int]:
     """Write ``items`` and ``vocabulary`` under ``path`` and return the two row counts.
 
-    Items are laid out in order of position, so a filter on it skips most row groups. The
-    vocabulary is taken from the written items, so the plan behind them runs once.
+    The vocabulary is taken from the written items, so the plan behind them runs once.
     """
     spark = items.sparkSession
-    in_order = items.repartitionByRange("position").sortWithinPartitions("position")
-    observed, rows = counted(in_order, "items")
+    observed, rows = counted(by_position(items), "items")
     observed.write.parquet(f"{path}/items")
     vocabulary, names = counted(
         feature_vocabulary(spark.read.parquet(f"{path}/items")), "vocabulary"

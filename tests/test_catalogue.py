@@ -164,6 +164,12 @@ def test_crawl_states_and_application(spark):
     items = _named(
         spark, [(1, "a", "b"), (2, "c", "d"), (3, "g", "h"), (4, "e", "f"), (5, "g", "h"), (6, "i", "j")]
     )
+    # a found entry without a tag list counts as missing
+    bare = spark.createDataFrame([("i - j", True, None, None, None, None)], schemas.CRAWL_CACHE)
+    with_bare = cache.unionByName(bare)
+    states = {r.position: r.state for r in crawl.crawl_states(items, with_bare).collect()}
+    assert states[6] == "missing"
+    assert 6 not in {r.position for r in crawl.apply_crawl_cache(items, with_bare).collect()}
     states = {r.position: r.state for r in crawl.crawl_states(items, cache).collect()}
     assert states == {1: "hit", 2: "missing", 3: "absent", 4: "hit", 5: "absent", 6: "absent"}
     fresh = [("g - h", True, [("jazz", "1")], [], "1"), ("i - j", False, None, None, None)]
@@ -250,6 +256,23 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert all(shared_folder(spark).removeprefix("file:") in f for f in staged.inputFiles())
 
 
+def test_a_cluster_needs_the_setting():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+    Session.conf = {"spark.checkpoint.dir": "hdfs:///shared/"}
+    assert shared_folder(Session()) == "hdfs:///shared"
+
+
 def test_files_to_recommendations(spark, tmp_path):
     """CSV, feed file and crawl table to written items, read back and queried."""
     source = tmp_path / "in.csv"
@@ -272,7 +295,9 @@ def test_files_to_recommendations(spark, tmp_path):
     items, _ = catalogue.read_processed(spark, str(tmp_path / "out"))
     first = items.filter("position = 1").first()
     assert first.descriptors == ["dark", "sad"] and first.features["tag_mellow"] == 1.0
-    got = recommend(tag_index(items), items, [1]).orderBy("rank").collect()
+    catalogue.write_index(tag_index(items), str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    got = recommend(index, items, [1]).orderBy("rank").collect()
     # shared tag rock: primary with primary on Y, primary with descriptor on Z
     assert [(r.release_name, r.raw_points, r.score) for r in got] == [("Bar", 3.0, 43), ("Zed", 2.0, 29)]
     assert suggest(search_index(items), "foo", 5).first().display == "X - Foo"
