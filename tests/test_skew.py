@@ -47,3 +47,48 @@ def test_results_do_not_depend_on_what_is_hot(spark, sf_dir, monkeypatch):
             )
         )
     assert runs[0] == runs[1]
+
+
+def test_hot_position_is_split_by_the_adaptive_join(spark):
+    """The joins left to adaptive skew handling are of the form it can split."""
+    from tagweave.operators import recommend
+    from tagweave.session import stage
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.files.maxPartitionBytes": "16KB",
+        "spark.sql.files.openCostInBytes": "1KB",
+    }
+    index = stage(
+        spark.range(1, 2000, 1, 8).selectExpr(
+            "cast(id as int) as position",
+            "array(concat('a', id % 7)) as primary_tags",
+            "array(concat('b', id % 5)) as other_tags",
+        ),
+        "hot_index",
+    )
+    counted = stage(
+        spark.range(0, 40_000, 1, 8).selectExpr(
+            "id as request_id",
+            "cast(if(id % 3 = 0, 2, 1 + id % 1999) as int) as position",
+            "cast(1 as bigint) as times",
+        ),
+        "hot_counted",
+    )
+    kept = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        profile = recommend.build_profile(index, counted)
+        total = profile.selectExpr("sum(sum_w)", "sum(n)")
+        got = total.collect()[0][:]
+        text = total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert got == (80_000.0, 80_000)
+    assert "skew=true" in text
