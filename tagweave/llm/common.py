@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,28 +31,34 @@ def blank_words(text: Column) -> Column:
 
 
 def map_rows(
-    df: DataFrame, schema: str, start: Callable[[], Callable[[tuple], Iterable[tuple]]]
+    df: DataFrame,
+    keep: list[str],
+    inputs: list[str],
+    schema: str,
+    start: Callable[[], Callable[..., tuple]],
 ) -> DataFrame:
-    """``df`` through a plain function: one row in, any number of rows out, nothing shuffled.
+    """The columns ``keep`` of each row, and the ``schema`` columns a plain function gives for it.
 
-    ``start`` runs once per task and returns the function, so models are unpacked once. Rows
-    become Python objects a slice at a time, which bounds memory with very long texts.
+    Nothing is shuffled. ``start`` runs once per task and returns the function, so that models are
+    unpacked once; it is called with the ``inputs``. Kept columns stay in Arrow. Rows become Python
+    objects a slice at a time, which bounds memory with very long texts.
     """
-    fields = StructType.fromDDL(schema)
-    out_schema = to_arrow_schema(fields)
+    new = StructType.fromDDL(schema)
+    fields = StructType([*df.select(*keep).schema.fields, *new.fields])
+    out_schema, types = to_arrow_schema(fields), [f.type for f in to_arrow_schema(new)]
+    columns = list(dict.fromkeys([*keep, *inputs]))
+    kept, read = [columns.index(c) for c in keep], [columns.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_row = start()
         for batch in batches:
             for first in range(0, batch.num_rows, SLICE_ROWS):
-                columns = [c.to_pylist() for c in batch.slice(first, SLICE_ROWS).columns]
-                rows = [out for row in zip(*columns, strict=True) for out in of_row(row)]
-                if rows:
-                    arrays = [
-                        pa.array(values, type=field.type)
-                        for values, field in zip(zip(*rows, strict=True), out_schema, strict=True)
-                    ]
-                    yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
-
-    return df.mapInArrow(run, fields)
+                part = batch.slice(first, SLICE_ROWS)
+                rows = zip(*[part.column(i).to_pylist() for i in read], strict=True)
+                made = zip(*[of_row(*row) for row in rows], strict=True)
+                arrays = [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept], *arrays], schema=out_schema
+                )
 
+    return df.select(*columns).mapInArrow(run, fields)

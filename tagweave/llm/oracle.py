@@ -55,6 +55,43 @@ SELECT doc_id, n_words, coalesce(joined, 0) AS word_chars, n_symbols, n_dup_line
 FROM flags LEFT JOIN verdicts USING (host)
 """
 
+# A pattern is a stretch of 13 item words, or a whole shorter item.
+_BENCHMARK = r"""
+WITH items AS (
+  SELECT item_id, list_filter(
+    regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS p FROM (
+    SELECT item_id, w, least(13, len(w)) AS k,
+      unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+    FROM items WHERE len(w) > 0)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), places AS (
+  SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM docs, (SELECT DISTINCT k FROM patterns) WHERE len(w) >= k
+), hits AS (
+  SELECT r, i, k, item_id
+  FROM (SELECT r, i, k, array_to_string(w[i : i + k - 1], ' ') AS p FROM places)
+  JOIN patterns USING (k, p)
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS digest
+  FROM hits GROUP BY r
+), covered AS (
+  SELECT r, count(DISTINCT spot) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + k)) AS spot FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN found USING (r) LEFT JOIN covered USING (r)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op6_quality_rules": _RULES}
+    return {"op4_decontaminate": _BENCHMARK, "op6_quality_rules": _RULES}

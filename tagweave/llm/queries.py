@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.llm.common import table
+from tagweave.llm.decontaminate import contamination_digest, match_benchmark
 from tagweave.llm.rules import quality_rules
 from tagweave.llm.secrets import scan_secrets, secret_digest
+from tagweave.llm.simhash import simhash_components, simhash_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,10 +19,19 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination_digest(match_benchmark(docs, items))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_digest(simhash_components(table(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("failed")
 
 
 def registered() -> dict[str, Query]:
-    queries = [op3_secret_scan, op6_quality_rules]
+    queries = [op3_secret_scan, op4_decontaminate, op5_simhash, op6_quality_rules]
     return {query.__name__: query for query in queries}

@@ -7,7 +7,6 @@ a complementary role lie near them in the same scope: a secret beside an identif
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_right
 from itertools import accumulate
@@ -150,18 +149,16 @@ def scan_secrets(
     """
 
     def start():
-        def one(row):
-            strong, weak = scan_text(row[1], max_gap)
-            as_rows = lambda spans: [
-                {"kind": k, "start": s, "end": e} for k, s, e in spans
-            ]
-            return [(row[0], as_rows(strong), as_rows(weak))]
+        def one(value):
+            return tuple(
+                [{"kind": k, "start": a, "end": b} for k, a, b in spans]
+                for spans in scan_text(value, max_gap)
+            )
 
         return one
 
-    kind = docs.schema[doc_id].dataType.simpleString()
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return map_rows(narrow, f"doc_id {kind}, strong {_SPANS}, linked {_SPANS}", start)
+    return map_rows(narrow, ["doc_id"], ["text"], f"strong {_SPANS}, linked {_SPANS}", start)
 
 
 def _joined(spans: Column) -> Column:
@@ -199,7 +196,3 @@ def secret_digest(scanned: DataFrame) -> DataFrame:
         _joined(in_order).alias("spans"),
     )
 
-
-def digest_of(spans: list[Span]) -> str:
-    joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
-    return hashlib.sha256(joined.encode()).hexdigest()
