@@ -92,6 +92,59 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN found USING (r) LEFT JOIN covered USING (r)
 """
 
+# Cumulative Poisson probabilities per source, passed by the document's number from its MD5.
+_MIX = """
+WITH shares AS (
+  SELECT 'src0' AS s, 2.0::DOUBLE AS share
+  UNION ALL SELECT 'src' || i, 0.9 FROM range(1, 20) AS t(i)
+  UNION ALL SELECT '(rest)', 0.9
+), docs AS (
+  SELECT d.*, coalesce(s, '(rest)') AS named, coalesce(length(text), 0) AS mass,
+    coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS k
+  FROM documents d LEFT JOIN shares ON source = s
+), rates AS (
+  SELECT named, share * (SELECT sum(mass) FROM docs) / (SELECT sum(share) FROM shares) / m AS rate
+  FROM (SELECT named, sum(mass) AS m FROM docs GROUP BY named) JOIN shares ON named = s WHERE m > 0
+), steps AS (
+  SELECT named, sum(exp(-rate + j * ln(rate) - lgamma(j + 1))) OVER (
+    PARTITION BY named ORDER BY j) AS p FROM rates, range(0, 100) AS t(j)
+), drawn AS (
+  SELECT *, ('0x' || substr(md5(k || ':42:0'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM docs
+), counted AS (
+  SELECT doc_id, text, lang, source, n_chars, k,
+    (SELECT count(*) FROM steps WHERE steps.named = drawn.named AND p <= u) AS n FROM drawn
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy,
+  md5('order:42:' || k || ':' || copy) AS shuffle_key
+FROM (SELECT *, unnest(range(0, n)) AS copy FROM counted)
+"""
+
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+  SELECT *, 24 + length(role) + length(regexp_replace(text,
+    '(<|\[)(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\])', '\1.\2\3', 'g')) AS chars
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+    AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op4_decontaminate": _BENCHMARK, "op6_quality_rules": _RULES}
+    return {
+        "op4_decontaminate": _BENCHMARK,
+        "op6_quality_rules": _RULES,
+        "op7_mix_sources": _MIX,
+        "op9_chat_format": _CHAT,
+    }

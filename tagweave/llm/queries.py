@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagweave.llm.chat import chat_digest, format_chat, records_of
 from tagweave.llm.common import table
 from tagweave.llm.decontaminate import contamination_digest, match_benchmark
+from tagweave.llm.mixing import mix_sources
 from tagweave.llm.rules import quality_rules
 from tagweave.llm.secrets import scan_secrets, secret_digest
 from tagweave.llm.simhash import simhash_components, simhash_digest
 
+# Target mixture of the corpus: the large source is held to a tenth, the others share evenly.
+MIX = {"src0": 2.0} | {f"src{i}": 0.9 for i in range(1, 20)}
+MIX_REST = 0.9
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -32,6 +38,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("failed")
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), MIX, rest=MIX_REST)
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are full of control strings."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.sql(
+        "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
+    records = records_of(given.unionByName(marked))
+    return chat_digest(format_chat(records, "conv_id", "record"))
+
+
 def registered() -> dict[str, Query]:
-    queries = [op3_secret_scan, op4_decontaminate, op5_simhash, op6_quality_rules]
+    queries = [op3_secret_scan, op4_decontaminate, op5_simhash, op6_quality_rules,
+               op7_mix_sources, op9_chat_format]
     return {query.__name__: query for query in queries}
