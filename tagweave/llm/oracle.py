@@ -140,6 +140,44 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+# Lines as word sets; pairs that share one of their rarest words, compared in full.
+_LINES = r"""
+WITH docs AS (
+  SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), lines AS (
+  SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM docs
+), sets AS (
+  SELECT doc_id, i, list_sort(list_distinct(list_filter(
+    regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM lines
+), firsts AS (
+  SELECT w, len(w) AS n, min((doc_id, i)) AS p FROM sets WHERE len(w) > 0 GROUP BY w
+), words AS (
+  SELECT p, n, unnest(w) AS word FROM firsts
+), ranked AS (
+  SELECT p, n, word, row_number() OVER (PARTITION BY p ORDER BY k, word) AS r
+  FROM words JOIN (SELECT word, count(*) AS k FROM words GROUP BY word) USING (word)
+), prefixes AS (
+  SELECT p, n, word FROM ranked WHERE r <= n - ceil(n * 4 / 5) + 1
+), pairs AS (
+  SELECT DISTINCT a.p AS earlier, b.p AS later FROM prefixes a JOIN prefixes b USING (word)
+  WHERE a.p < b.p AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+), alike AS (
+  SELECT DISTINCT later AS p FROM (
+    SELECT later, a.n + b.n AS total, len(list_intersect(a.w, b.w)) AS shared
+    FROM pairs JOIN firsts a ON a.p = earlier JOIN firsts b ON b.p = later)
+  WHERE 9 * shared >= 4 * total
+), gone AS (
+  SELECT doc_id, i FROM sets JOIN firsts USING (w) LEFT JOIN alike USING (p)
+  WHERE alike.p IS NOT NULL OR firsts.p <> (doc_id, i)
+)
+SELECT doc_id,
+  CASE WHEN removed IS NULL THEN text ELSE array_to_string(
+    list_filter(ls, lambda x, j: NOT list_contains(removed, j - 1)), chr(10)) END AS text,
+  coalesce(len(removed), 0)::BIGINT AS n_removed, coalesce(array_to_string(removed, ','), '') AS removed
+FROM docs LEFT JOIN (SELECT doc_id, list_sort(list(i)) AS removed FROM gone GROUP BY doc_id)
+  USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
     return {
@@ -147,4 +185,5 @@ def statements() -> dict[str, str]:
         "op6_quality_rules": _RULES,
         "op7_mix_sources": _MIX,
         "op9_chat_format": _CHAT,
+        "op10_line_dedup": _LINES,
     }

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagweave.llm.chat import chat_digest, format_chat, records_of
 from tagweave.llm.common import table
 from tagweave.llm.decontaminate import contamination_digest, match_benchmark
+from tagweave.llm.lines import dedup_lines
 from tagweave.llm.mixing import mix_sources
 from tagweave.llm.rules import quality_rules
 from tagweave.llm.secrets import scan_secrets, secret_digest
@@ -53,7 +55,17 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chat(records, "conv_id", "record"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "text",
+        F.size("removed_lines").cast("bigint").alias("n_removed"),
+        F.array_join(F.transform("removed_lines", lambda i: i.cast("string")), ",").alias("removed"),
+    )
+
+
 def registered() -> dict[str, Query]:
     queries = [op3_secret_scan, op4_decontaminate, op5_simhash, op6_quality_rules,
-               op7_mix_sources, op9_chat_format]
+               op7_mix_sources, op9_chat_format, op10_line_dedup]
     return {query.__name__: query for query in queries}
