@@ -83,7 +83,7 @@ def _crawl(name: str, title: str, found: str) -> dict[str, str]:
                                        ORDER BY p_partkey) = 1""",
         f"{name}_named": f"""
             SELECT cache_key, i, lower({_strip("name")}) AS name,
-                   CAST({_int("weight", 1)} AS INTEGER) AS weight
+                   {_int("weight", 1)} AS weight
             FROM (
               SELECT cache_key, 1 AS i, p_type AS name, CAST(p_size AS VARCHAR) AS weight
               FROM {name}_src
@@ -123,7 +123,7 @@ _CTES: dict[str, str] = {
         JOIN nation ON s_nationkey = n_nationkey
         GROUP BY l_partkey""",
     "raw": f"""
-        SELECT CAST(p_partkey + 1 AS INTEGER) AS position, p_brand AS artist_name,
+        SELECT CAST(p_partkey + 1 AS BIGINT) AS position, p_brand AS artist_name,
                {_SUFFIXED} AS release_name, CAST(NULL AS VARCHAR) AS release_date,
                'album' AS release_type,
                CASE WHEN p_partkey % 97 = 0 THEN 'NA' ELSE replace(p_name, ' ', ', ') END
@@ -200,7 +200,7 @@ _CTES: dict[str, str] = {
                                    ORDER BY source_rank, record_seq) = 1""",
     "external": f"""
         SELECT CAST((SELECT max(position) FROM items)
-                    + row_number() OVER (ORDER BY source_rank, record_seq) AS INTEGER)
+                    + row_number() OVER (ORDER BY source_rank, record_seq) AS BIGINT)
                  AS position,
                artist_name, release_name, playcount, listeners,
                list_filter(list_transform(tags, lambda t: lower({_strip("t")})),
@@ -295,7 +295,7 @@ _CONSOLIDATED = {
         SELECT base, row_number() OVER (ORDER BY base) AS n
         FROM (SELECT DISTINCT base FROM keyed)""",
     "consolidated": lambda items, feats: """
-        SELECT CAST(n.n AS INTEGER) AS position, k.base, k.artist_name, k.release_name,
+        SELECT CAST(n.n AS BIGINT) AS position, k.base, k.artist_name, k.release_name,
                k.release_type, k.primary_genres, k.secondary_genres,
                list_concat(k.descriptors, coalesce(l.ds, CAST([] AS VARCHAR[]))) AS descriptors,
                CAST(coalesce(t.n, 0) AS INTEGER) AS n_features,
@@ -426,7 +426,7 @@ _BATCH = """
 
 _CHOSEN = {
     "chosen": """
-        SELECT o_custkey AS request_id, CAST(l_partkey + 1 AS INTEGER) AS position,
+        SELECT o_custkey AS request_id, CAST(l_partkey + 1 AS BIGINT) AS position,
                count(*) AS times
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         GROUP BY o_custkey, l_partkey""",
@@ -439,14 +439,14 @@ _CHOSEN = {
 _WORDS = rf"string_split_regex(lower(text), '{_WS}+')"
 _DOCUMENTS = {
     "items": f"""
-        SELECT CAST(doc_id + 1 AS INTEGER) AS position, source AS artist_name,
+        SELECT CAST(doc_id + 1 AS BIGINT) AS position, source AS artist_name,
                'doc ' || CAST(doc_id AS VARCHAR) AS release_name, CAST(0.0 AS DOUBLE) AS avg_rating,
                CAST(n_chars AS INTEGER) AS rating_count,
                CAST(len(list_distinct({_WORDS})) AS INTEGER) AS n_descriptors
         FROM documents""",
     "weights": f"""
         SELECT DISTINCT position, tag, CAST(0.5 AS DOUBLE) AS w FROM (
-          SELECT CAST(doc_id + 1 AS INTEGER) AS position, unnest({_WORDS}) AS tag
+          SELECT CAST(doc_id + 1 AS BIGINT) AS position, unnest({_WORDS}) AS tag
           FROM documents)
         WHERE tag <> '' AND tag NOT IN ({_strings(fixed.CONTENT_VERSION_TAGS)})""",
     "counts": """
@@ -476,7 +476,41 @@ def statements() -> dict[str, str]:
                      FROM appended_features GROUP BY position"""
     }
     long = "SELECT position, feature, CAST(weight AS REAL) AS weight FROM"
+    flat_items = _with(
+        ["items", "item_features"],
+        f"""SELECT i.position, artist_name, release_name, release_type,
+                   {_text("primary_genres")} AS primary_genres,
+                   {_text("secondary_genres")} AS secondary_genres,
+                   {_text("descriptors")} AS descriptors,
+                   CAST(coalesce(t.n, 0) AS INTEGER) AS n_features,
+                   CAST(coalesce(t.total, 0.0) AS DOUBLE) AS feature_weight, avg_rating,
+                   rating_count, {_text("lastfm_tags")} AS lastfm_tags, source,
+                   variant_count, lastfm_playcount, lastfm_listeners
+            FROM items i LEFT JOIN totals t ON t.position = i.position""",
+        {
+            "totals": """SELECT position, count(*) AS n, sum(weight) AS total
+                         FROM item_features GROUP BY position"""
+        },
+    )
+    upserted = _with(
+        ["cache", "fetched"],
+        f"""SELECT cache_key, found, {_text("tag_list")} AS tag_list, playcount FROM cache
+            UNION ALL
+            SELECT cache_key, found, {_text("tag_list")}, playcount FROM fetched
+            WHERE cache_key NOT IN (SELECT cache_key FROM cache)""",
+    )
     return {
+        "source_csv": _with(["raw"], "SELECT * FROM raw"),
+        "source_feed": """
+            SELECT 0 AS source_rank, upper(p_brand) AS artist_name, p_name AS release_name,
+                   1 AS n_tags, CAST(p_size AS VARCHAR) AS playcount,
+                   CAST(NULL AS VARCHAR) AS listeners FROM part
+            UNION ALL
+            SELECT 1, lang, 'doc ' || (doc_id // 2), len(string_split(text, ' ')), NULL,
+                   CAST(n_chars AS VARCHAR) FROM documents""",
+        "source_cache": upserted,
+        "source_processed": flat_items,
+        "source_json_lines": flat_items,
         "parse_lists": _with(
             ["raw"],
             "SELECT position, "
@@ -572,13 +606,7 @@ def statements() -> dict[str, str]:
             ["states"],
             f"SELECT position, cache_key, state, {_text('tag_list')} AS tag_list FROM states",
         ),
-        "crawl_upsert": _with(
-            ["cache", "fetched"],
-            f"""SELECT cache_key, found, {_text("tag_list")} AS tag_list, playcount FROM cache
-                UNION ALL
-                SELECT cache_key, found, {_text("tag_list")}, playcount FROM fetched
-                WHERE cache_key NOT IN (SELECT cache_key FROM cache)""",
-        ),
+        "crawl_upsert": upserted,
         "enrichment": _with(
             ["enriched", "edges"],
             f"""SELECT e.position, {_text("e.tag_list")} AS tag_list,
@@ -634,7 +662,8 @@ def statements() -> dict[str, str]:
         "search_index": _with(["entries"], "SELECT * FROM entries"),
         "autocomplete_one": _with(
             ["entries"],
-            f"""SELECT position, artist_name, release_name, {_DISPLAY} AS display, variant_count
+            f"""SELECT CAST(row_number() OVER (ORDER BY {_ENTRY_ORDER}) AS INTEGER) AS rank,
+                       position, artist_name, release_name, {_DISPLAY} AS display, variant_count
                 FROM entries
                 WHERE contains(raw_search_blob, 'wi') OR contains(normalized_search_blob, 'wi')
                 ORDER BY {_ENTRY_ORDER} LIMIT 10""",

@@ -5,6 +5,7 @@ Arrays leave as ``;``-joined text so that both engines hash the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,9 @@ from tagweave.functions import params, text
 from tagweave.operators import crawl, display, external, features, lookup, recommend, search
 from tagweave.operators import tags, variants
 from tagweave.plans import build, star
-from tagweave.session import stage_once, tune
+from tagweave.schemas import EXTERNAL_RECORD
+from tagweave.session import shared_folder, stage_once, tune
+from tagweave.sources import catalogue, crawl_cache, feed
 
 SELECTED = [10, 20]
 REPEATED = [10, 10, 20]
@@ -287,6 +290,68 @@ def clamp_parameters(spark, sf):
     )
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder for tables that a query writes and reads back."""
+    return f"{shared_folder(spark)}/sources/{uuid.uuid4().hex}"
+
+
+def source_csv(spark, sf):
+    path = _folder(spark)
+    raw = star.raw_catalogue(spark, sf)
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    return catalogue.read_csv_catalogue(spark, path)
+
+
+def source_feed(spark, sf):
+    """The feed as files that hold one JSON array each, with counters as JSON numbers."""
+    path = _folder(spark)
+    records = star.external_feed(spark, sf).withColumns(
+        {"playcount": F.col("playcount").cast("double"), "listeners": F.col("listeners").cast("bigint")}
+    )
+    record = F.to_json(F.struct(*EXTERNAL_RECORD.names))
+    arrays = (
+        records.groupBy("source_rank", F.pmod(F.xxhash64("record_seq"), F.lit(16)).alias("part"))
+        .agg(F.collect_list(record).alias("r"))
+        .select("source_rank", "part", F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")))
+    )
+    arrays.write.partitionBy("source_rank", "part").text(path)
+    paths = [f"{path}/source_rank={rank}" for rank in (0, 1, 2)]  # the last one does not exist
+    return feed.read_external_feed(spark, paths).select(
+        "source_rank",
+        "artist_name",
+        "release_name",
+        F.size("tags").alias("n_tags"),
+        "playcount",
+        "listeners",
+    )
+
+
+def source_cache(spark, sf):
+    """The cache after an upsert, written as JSON lines and as Parquet and read back from both."""
+    tune(spark)
+    path = _folder(spark)
+    cache = crawl.clean_crawl(star.raw_crawl(spark, sf))
+    fetched = crawl.clean_crawl(star.raw_fetch(spark, sf))
+    crawl_cache.write_cache(cache, fetched, f"{path}/lines", "json")
+    lines = crawl_cache.read_cache(spark, f"{path}/lines", "json", damaged="empty")
+    crawl_cache.write_cache(lines, fetched, f"{path}/table")
+    return crawl_cache.read_cache(spark, f"{path}/table").select(
+        "cache_key", "found", joined("tag_list").alias("tag_list"), "playcount"
+    )
+
+
+def source_processed(spark, sf):
+    path = _folder(spark)
+    catalogue.write_processed(star.items(spark, sf), path)
+    return _flat_items(catalogue.read_processed(spark, path)[0])
+
+
+def source_json_lines(spark, sf):
+    path = _folder(spark)
+    catalogue.write_json_lines(star.items(spark, sf), path)
+    return _flat_items(catalogue.read_json_lines(spark, path))
+
+
 _ALL = [
     parse_lists,
     feature_map_long,
@@ -322,6 +387,11 @@ _ALL = [
     find_exact,
     display_rows,
     clamp_parameters,
+    source_csv,
+    source_feed,
+    source_cache,
+    source_processed,
+    source_json_lines,
 ]
 
 

@@ -17,11 +17,37 @@ from tagweave.functions.text import strip
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
 
+def _whole(value: Column) -> Column:
+    """Numbers without their fraction, towards zero; null for what is no number."""
+    number = value.try_cast("double")
+    beyond = F.when(number < 0, F.lit(_LONG_MIN)).otherwise(F.lit(_LONG_MAX))
+    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+    towards_zero = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+    return F.when(finite, F.coalesce(towards_zero.try_cast("bigint"), beyond))
+
+
 def parse_int(value: Column, default: int) -> Column:
     """Whole number in ``value`` as bigint, ``default`` where there is none.
 
-    Numbers beyond bigint saturate: every caller clamps or compares, so only the side matters.
+    Text is parsed, numbers lose their fraction, true is 1. Numbers beyond bigint saturate: every
+    caller clamps or compares, so only the side matters.
     """
+    kind = F.typeof(value)
+    default_ = F.lit(default).cast("bigint")
+    return (
+        F.when(
+            kind.isin("tinyint", "smallint", "int", "bigint", "boolean"),
+            F.coalesce(value.try_cast("bigint"), default_),
+        )
+        .when(
+            kind.isin("float", "double") | kind.startswith("decimal"),
+            F.coalesce(_whole(value), default_),
+        )
+        .otherwise(_parse_text(value, default))
+    )
+
+
+def _parse_text(value: Column, default: int) -> Column:
     text = strip(value.cast("string"))
     digits = F.regexp_replace(text, "_", "")
     beyond = F.when(text.startswith("-"), F.lit(_LONG_MIN)).otherwise(F.lit(_LONG_MAX))

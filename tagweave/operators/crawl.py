@@ -12,14 +12,6 @@ from tagweave.functions.text import cache_key, clean_tag
 from tagweave.operators.skew import spread_join
 from tagweave.schemas import SIMILAR
 
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
-
-
-def _weight(text: Column) -> Column:
-    number = parse_int(text, 1)
-    return F.greatest(F.lit(_INT_MIN), F.least(F.lit(_INT_MAX), number)).cast("int")
-
-
 def similar_list(similar: Column) -> Column:
     """The first twelve entries, then those of them that name both artist and title."""
     return F.filter(
@@ -48,7 +40,7 @@ def clean_crawl(raw: DataFrame) -> DataFrame:
     named = F.transform(
         F.coalesce("tags", F.array().cast(raw.schema["tags"].dataType)),
         lambda t, i: F.struct(
-            clean_tag(t["name"]).alias("name"), i.alias("i"), _weight(t["weight"]).alias("weight")
+            clean_tag(t["name"]).alias("name"), i.alias("i"), parse_int(t["weight"], 1).alias("weight")
         ),
     )
     useful = F.filter(
@@ -91,16 +83,34 @@ def crawl_states(items: DataFrame, cache: DataFrame) -> DataFrame:
     )
 
 
-def upsert_cache(cache: DataFrame, fetched: DataFrame) -> DataFrame:
-    """Old entries win; entries for keys the cache lacks are added, not-found ones included."""
-    fresh = fetched.dropDuplicates(["cache_key"]).join(
+def first_fetches(fetched: DataFrame, order: str | None = None) -> DataFrame:
+    """One entry per key: the one with the smallest ``order`` (a column with the fetch's place).
+
+    Without such a column found entries come first, then those with the smallest contents, so
+    that the choice does not depend on the order of the rows.
+    """
+    contents = F.struct(~F.col("found"), "playcount", "tag_list", "similar_albums")
+    entry = F.struct(*[c for c in fetched.columns if c not in ("cache_key", order)])
+    best = F.min_by(entry, contents if order is None else F.col(order))
+    return fetched.groupBy("cache_key").agg(best.alias("e")).select("cache_key", "e.*")
+
+
+def upsert_cache(
+    cache: DataFrame, fetched: DataFrame, order: str | None = None
+) -> DataFrame:
+    """Old entries win; entries for keys the cache lacks are added, not-found ones included. Of
+    repeated keys ``first_fetches`` decides."""
+    fresh = first_fetches(fetched, order).join(
         cache.select("cache_key"), "cache_key", "left_anti"
     )
     return cache.unionByName(fresh.select(*cache.columns))
 
 
 def apply_crawl_cache(
-    items: DataFrame, cache: DataFrame, fetched: DataFrame | None = None
+    items: DataFrame,
+    cache: DataFrame,
+    fetched: DataFrame | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Tags and similar items per position: from the cache, else from freshly crawled entries.
 
@@ -119,11 +129,8 @@ def apply_crawl_cache(
     keys = absent.groupBy("cache_key").agg(
         F.min("position").alias("_first"), F.count(F.lit(1)).alias("rows")
     )
-    entries = (
-        fetched.filter("found")
-        .dropDuplicates(["cache_key"])
-        .join(keys.drop("rows"), "cache_key")
-    )
+    # the first fetch of a key decides, as in the cache it goes to, also if it found nothing
+    entries = first_fetches(fetched, order).filter("found").join(keys.drop("rows"), "cache_key")
     keep_similar = (F.size("similar_albums") > 0) | (F.col("position") > F.col("_first"))
     tagged = spread_join(
         absent, entries, ["cache_key"], spread_by="position", counts=keys.drop("_first")

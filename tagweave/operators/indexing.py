@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 16
@@ -15,31 +15,54 @@ def dense_index(
     within: str | None = None,
     bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Number rows 1..n in the order of (``within``, ``value``).
+    """Number rows 1..n (bigint) in the order of (``within``, ``value``).
 
     ``keys`` should be narrow: it is read twice and shuffled once, and the numbers are meant to
     be joined to the wide rows. ``value`` must be an integer, unique inside ``within``. Rows fall
     into buckets of ``2^bits`` consecutive values, so no bucket can hold more rows than that
-    whatever the data. Only the per-bucket counts are summed up in order: positions are 32-bit,
-    so at most 2^31 rows, which fill at most a few ten thousand buckets. Bucket membership
-    depends on the values alone; a recomputed task gives the same numbers, and nothing has to be
-    persisted.
+    whatever the data. The buckets' counts are summed up in the same way: buckets fall into
+    buckets of ``2^bits`` consecutive ones, until what is left spans no more than that. So no
+    window sees more than ``2^bits`` rows of one ``within``, however far the values lie apart,
+    and the one over all of them has a row per such span. Bucket membership depends on the values
+    alone; a recomputed task gives the same numbers, and nothing has to be persisted.
     """
-    place = ["_within", "_bucket"]
-    bucketed = keys.withColumns(
+    number = F.col(value).cast("bigint")
+    rows = keys.withColumns(
         {
             "_within": F.col(within).cast("int") if within else F.lit(0),
-            "_bucket": F.shiftright(F.col(value).cast("bigint"), bits),
+            "_b": number,
+            "_n": F.lit(1).cast("bigint"),
         }
     )
-    counts = bucketed.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    local = F.row_number().over(Window.partitionBy(*place).orderBy(value))
+    low, high = keys.agg(F.min(number), F.max(number)).first()
     return (
-        bucketed.join(offsets, place)
-        .withColumn(out, (F.col("_offset") + local).cast("int"))
-        .drop(*place, "_offset")
+        _with_offsets(rows, low or 0, high or 0, bits)
+        .withColumn(out, F.col("_offset") + 1)
+        .drop("_within", "_b", "_n", "_offset")
     )
+
+
+def _before(window: WindowSpec) -> Column:
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+
+
+def _with_offsets(rows: DataFrame, low: int, high: int, bits: int) -> DataFrame:
+    """``rows`` with ``_offset``: the sum of ``_n`` over all smaller (``_within``, ``_b``).
+
+    ``rows`` are unique by these two, with ``_b`` from low to high.
+    """
+    if high - low >> bits == 0:
+        totals = rows.groupBy("_within").agg(F.sum("_n").alias("_n"))
+        starts = totals.select("_within", _before(Window.orderBy("_within")).alias("_start"))
+        inside = _before(Window.partitionBy("_within").orderBy("_b"))
+        placed = rows.withColumn("_inside", inside).join(starts, "_within")
+    else:
+        cut = rows.withColumn("_up", F.shiftright("_b", bits))
+        coarse = cut.groupBy("_within", F.col("_up").alias("_b")).agg(F.sum("_n").alias("_n"))
+        outer = _with_offsets(coarse, low >> bits, high >> bits, bits).select(
+            "_within", F.col("_b").alias("_up"), F.col("_offset").alias("_start")
+        )
+        inside = _before(Window.partitionBy("_within", "_up").orderBy("_b"))
+        placed = cut.withColumn("_inside", inside).join(outer, ["_within", "_up"]).drop("_up")
+    return placed.withColumn("_offset", F.col("_start") + F.col("_inside")).drop("_start", "_inside")

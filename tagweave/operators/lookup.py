@@ -28,7 +28,7 @@ def item_detail(items: DataFrame, position: int) -> DataFrame:
 
 def lookup(items: DataFrame, requests: DataFrame) -> DataFrame:
     """Details for a table of (request_id, position); unknown positions give no row."""
-    wanted = requests.select("request_id", F.col("position").try_cast("int").alias("position"))
+    wanted = requests.select("request_id", F.col("position").try_cast("bigint").alias("position"))
     return wanted.join(items.select(*DETAIL), "position")
 
 

@@ -227,5 +227,12 @@ def suggest(index: DataFrame, query: str, limit: int | str | None = None) -> Dat
         index.filter(hit & F.lit(one.ok))
         .orderBy(*_static_order())
         .limit(one.n)
-        .select("position", "artist_name", "release_name", _display().alias("display"), "variant_count")
+        .select(
+            F.row_number().over(Window.orderBy(*_static_order())).alias("rank"),
+            "position",
+            "artist_name",
+            "release_name",
+            _display().alias("display"),
+            "variant_count",
+        )
     )

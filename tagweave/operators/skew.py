@@ -42,4 +42,8 @@ def spread_join(
     copied = one.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), last))
     )
-    return salted.drop("_copies").join(copied.drop("_copies"), [*keys, "_salt"]).drop("_salt")
+    # dealt explicitly: a join may otherwise go without the salt where its input is already
+    # partitioned by some of the keys
+    by_salt = [*keys, "_salt"]
+    many_dealt = salted.drop("_copies").repartition(*by_salt)
+    return many_dealt.join(copied.drop("_copies").repartition(*by_salt), by_salt).drop("_salt")

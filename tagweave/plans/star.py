@@ -63,7 +63,7 @@ def _raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .join(sales, "p_partkey", "left")
         .select(
-            (F.col("p_partkey") + 1).cast("int").alias("position"),
+            (F.col("p_partkey") + 1).cast("bigint").alias("position"),
             F.col("p_brand").alias("artist_name"),
             _suffixed_name().alias("release_name"),
             F.lit(None).cast("string").alias("release_date"),
@@ -207,7 +207,7 @@ def document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         words = F.split(F.lower("text"), WHITE_SPACE_RUN, -1)
         return conform(
             table(spark, sf_dir, "documents").select(
-                (F.col("doc_id") + 1).cast("int").alias("position"),
+                (F.col("doc_id") + 1).cast("bigint").alias("position"),
                 F.col("source").alias("artist_name"),
                 F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("release_name"),
                 F.array_distinct(words).alias("descriptors"),
@@ -242,7 +242,7 @@ def selections(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("o_custkey").alias("request_id"),
-            (F.col("l_partkey") + 1).cast("int").alias("position"),
+            (F.col("l_partkey") + 1).cast("bigint").alias("position"),
             "top_n",
         )
     )

@@ -11,7 +11,7 @@ SIMILAR = T.ArrayType(
 
 RAW_CATALOGUE = T.StructType(
     [
-        T.StructField("position", T.IntegerType()),
+        T.StructField("position", T.LongType()),
         T.StructField("artist_name", T.StringType()),
         T.StructField("release_name", T.StringType()),
         T.StructField("release_date", T.StringType()),
@@ -26,7 +26,7 @@ RAW_CATALOGUE = T.StructType(
 
 ITEMS = T.StructType(
     [
-        T.StructField("position", T.IntegerType()),
+        T.StructField("position", T.LongType()),
         T.StructField("artist_name", T.StringType()),
         T.StructField("release_name", T.StringType()),
         T.StructField("release_date", T.StringType()),
@@ -88,16 +88,9 @@ CRAWL_CACHE = T.StructType(
     [
         T.StructField("cache_key", T.StringType()),
         T.StructField("found", T.BooleanType()),
-        T.StructField("tags", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("tags", T.MapType(T.StringType(), T.LongType())),
         T.StructField("tag_list", _STRINGS),
         T.StructField("similar_albums", SIMILAR),
         T.StructField("playcount", T.LongType()),
     ]
 )
-
-ENRICHMENT = T.StructType(
-    [
-        T.StructField("position", T.IntegerType()),
-        T.StructField("tag_list", _STRINGS),
-    ]
-)

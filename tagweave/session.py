@@ -12,8 +12,6 @@ from tagweave.fixed import RECOMMEND_MAX
 _SETTINGS = {
     # top-k filters up to the largest legal top_n are limited before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": str(RECOMMEND_MAX),
-    # a join on (block, tag) may use data already partitioned by block alone
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -2,25 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegerType, LongType, StringType
 
 from tagweave.operators.features import feature_vocabulary
-from tagweave.schemas import RAW_CATALOGUE
+from tagweave.schemas import ITEMS, RAW_CATALOGUE
 
 
 def read_csv_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, ``""`` for a quote inside quotes.
 
     Columns are taken by header name, whatever their order in the file, and cast to the declared
-    types; nothing is inferred from the data, so the file is not read an extra time.
+    types; nothing is inferred from the data, so the file is not read an extra time. Empty numbers
+    are null, whole ones may be written with a fraction of zero or more (it is cut off), and what
+    is no number is an error that names the value.
     """
     raw = spark.read.csv(path, header=True, escape='"')
-    return raw.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_CATALOGUE.fields]
+    return raw.select(*[_typed(f.name, f.dataType).alias(f.name) for f in RAW_CATALOGUE.fields])
+
+
+def _typed(name: str, kind: DataType) -> Column:
+    text = F.col(name)
+    if isinstance(kind, StringType):
+        return text
+    given = F.trim(text)
+    number = given.try_cast(kind)
+    if isinstance(kind, (LongType, IntegerType)):
+        number = F.coalesce(number, F.floor(given.try_cast("double")).try_cast(kind))
+    wrong = F.raise_error(F.concat(F.lit(f"{name} is no number: "), text)).cast(kind)
+    return F.when(given.isNull() | (given == ""), F.lit(None).cast(kind)).otherwise(
+        F.coalesce(number, wrong)
     )
 
 
+def require_unique_positions(items: DataFrame) -> None:
+    """Raise if a position occurs twice: it names an item everywhere else in the library."""
+    repeated = items.groupBy("position").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found = [row["position"] for row in repeated.limit(5).collect()]
+    if found:
+        raise ValueError(f"positions must be unique; repeated ones are {found}, ...")
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` with a row count that is filled in by whichever action runs it first."""
     observation = Observation(name)
@@ -33,18 +56,21 @@ def by_position(df: DataFrame) -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """The tag index, to be read by every request."""
+    """The tag index, to be read by every request. Repeated positions are an error."""
     by_position(index).write.parquet(path)
+    require_unique_positions(index.sparkSession.read.parquet(path).select("position"))
 
 
 def write_processed(items: DataFrame, path: str) -> dict[str, int]:
     """Write ``items`` and ``vocabulary`` under ``path`` and return the two row counts.
 
-    The vocabulary is taken from the written items, so the plan behind them runs once.
+    The vocabulary is taken from the written items, so the plan behind them runs once. Repeated
+    positions are an error.
     """
     spark = items.sparkSession
     observed, rows = counted(by_position(items), "items")
     observed.write.parquet(f"{path}/items")
+    require_unique_positions(spark.read.parquet(f"{path}/items").select("position"))
     vocabulary, names = counted(
         feature_vocabulary(spark.read.parquet(f"{path}/items")), "vocabulary"
     )
@@ -57,6 +83,11 @@ def write_json_lines(items: DataFrame, path: str) -> None:
     items.write.json(path)
 
 
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Items as written by ``write_json_lines``; a damaged line is an error."""
+    return spark.read.schema(ITEMS).option("mode", "FAILFAST").json(path).select(*ITEMS.names)
+
+
 def read_processed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(items, vocabulary) as written by ``write_processed``."""
     return spark.read.parquet(f"{path}/items"), spark.read.parquet(f"{path}/vocabulary")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, VariantType
 
+from tagweave.functions.params import parse_int
 from tagweave.schemas import EXTERNAL_FEED, EXTERNAL_RECORD
 
 
@@ -19,12 +21,17 @@ def read_external_feed(spark: SparkSession, paths: list[str]) -> DataFrame | Non
     """Records of all JSON-array files that exist, ranked by their place in ``paths``.
 
     Such a file cannot be split, so one task reads it from front to back and the generated id
-    follows its order. Large feeds come as tables instead, see ``read_feed_table``.
+    follows its order. Large feeds come as tables instead, see ``read_feed_table``. A file that
+    is no valid JSON is an error. Counters may be numbers or text: numbers lose their fraction.
     """
+    counters = ("playcount", "listeners")
+    read_as = StructType(
+        [StructField(f.name, VariantType()) if f.name in counters else f for f in EXTERNAL_RECORD]
+    )
     found = []
     for rank, path in enumerate(paths):
         try:
-            records = spark.read.schema(EXTERNAL_RECORD).json(path, multiLine=True)
+            records = spark.read.schema(read_as).json(path, multiLine=True, mode="FAILFAST")
         except AnalysisException as error:
             if not _path_missing(error):
                 raise
@@ -33,12 +40,26 @@ def read_external_feed(spark: SparkSession, paths: list[str]) -> DataFrame | Non
             records.select(
                 F.lit(rank).alias("source_rank"),
                 F.monotonically_increasing_id().alias("record_seq"),
-                *EXTERNAL_RECORD.names,
+                *[_counter(c) if c in counters else F.col(c) for c in EXTERNAL_RECORD.names],
             )
         )
     return reduce(DataFrame.unionByName, found) if found else None
 
 
+def _counter(name: str) -> Column:
+    """A JSON counter as text: strings as they are, numbers and booleans as whole numbers."""
+    value = F.col(name)
+    number = F.coalesce(F.try_variant_get(value, "$", "double"), F.lit(0.0))
+    exact = F.try_variant_get(value, "$", "bigint")
+    kind = F.schema_of_variant(value)
+    text = (
+        F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+        .when(kind.isin("BIGINT", "BOOLEAN"), exact.cast("string"))
+        .otherwise(parse_int(number, 0).cast("string"))
+    )
+    return F.when(value.isNotNull() & ~F.is_variant_null(value), text).alias(name)
+
+
 def read_feed_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """A feed that carries its own (source_rank, record_seq), from a splittable format."""
-    return spark.read.schema(EXTERNAL_FEED).format(format).load(path)
+    return spark.read.schema(EXTERNAL_FEED).option("mode", "FAILFAST").format(format).load(path)

@@ -18,20 +18,31 @@ def test_spread_join_equals_join(spark, hot_rows):
     assert sorted(got.select("id", "k", "v").collect()) == expected
 
 
-def test_hot_rows_reach_several_tasks(spark):
-    many = spark.range(4000).select("id", F.lit("hot").alias("k"))
-    one = spark.createDataFrame([("hot", 1)], "k string, v int").groupBy("k").agg(F.max("v").alias("v"))
-    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+@pytest.mark.parametrize("all_keys", ["true", "false"])
+def test_hot_rows_reach_several_tasks(spark, all_keys):
+    """Two thirds of the rows under one value of a column, already dealt by that column."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.requireAllClusterKeysForCoPartition": all_keys,
+        "spark.sql.shuffle.partitions": "16",
+    }
+    hot = F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id"))
+    many = spark.range(6000).select("id", hot.alias("k"))
+    one = many.groupBy("k").agg(F.max("id").alias("v"))
+    kept = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = skew.spread_join(many, one, ["k"], "id", hot_rows=100)
+        joined = skew.spread_join(many.repartition("k"), one, ["k"], "id", hot_rows=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert sum(r["count"] for r in sizes) == 4000
-    assert len(sizes) > 3 and max(r["count"] for r in sizes) < 2500
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum("hashpartitioning" in x and "_salt" in x for x in plan.splitlines()) >= 2
+    assert sum(r["count"] for r in sizes) == 6000
+    assert max(r["count"] for r in sizes) < 2000
 
 
 def test_results_do_not_depend_on_what_is_hot(spark, sf_dir, monkeypatch):
