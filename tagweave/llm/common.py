@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tagweave.session import stage
+
 # White space of the quality and SimHash contracts: blank and the five ASCII controls.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -22,6 +25,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settle(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stage what ``build`` returns, then let Spark's cleaner delete the shuffle files behind it.
+
+    The cleaner acts when nothing refers to a plan any more and the driver collects its garbage,
+    which a job of many large steps cannot wait for. Hence a function: no caller holds the plan.
+    """
+    out = stage(build(), name)
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a staged table that nothing needs any more."""
+    spark = staged.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged.inputFiles()[0]).getParent()
+    if folder.getParent().toString().endswith("/staged"):
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def blank_words(text: Column) -> Column:
     """Runs of other characters than ``BLANKS``; null and blank texts have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -148,7 +148,8 @@ WITH docs AS (
   SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM docs
 ), sets AS (
   SELECT doc_id, i, list_sort(list_distinct(list_filter(
-    regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM lines
+    string_split(trim(lower(line), ' ' || chr(9) || chr(11) || chr(12) || chr(13)), ' '),
+    lambda x: x <> ''))) AS w FROM lines
 ), firsts AS (
   SELECT w, len(w) AS n, min((doc_id, i)) AS p FROM sets WHERE len(w) > 0 GROUP BY w
 ), words AS (
