@@ -196,6 +196,7 @@ def item_shards(items: DataFrame, window: int, shard_words: int) -> list[bytes]:
 
 
 def _pieces(words: list[bytes], window: int, most: int) -> list[list[bytes]]:
+    most = max(most, 2 * window)
     if len(words) <= most:
         return [words] if words else []
     return [words[a : a + most] for a in range(0, len(words) - window + 1, most - window + 1)]
