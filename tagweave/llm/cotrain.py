@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tagweave.llm.common import map_rows
 
 # Bounds of what training reads: labelled and unlabelled documents, the first by hash of their id.
-LABELLED, UNLABELLED = 9000, 6000
+LABELLED, UNLABELLED = 8000, 4000
 HELD_SHARE = 0.3  # of the labelled sample, for calibration
 ROUNDS, PER_ROUND, SURE = 3, 400, 0.95
 TEXT_BITS, META_BITS = 22, 12
@@ -105,7 +105,7 @@ def telling(flat: np.ndarray, owner: np.ndarray, target: np.ndarray, bits: int)
 def train(rows: list[np.ndarray], target: np.ndarray, bits: int) -> Linear:
     """Class-balanced logistic regression with ridge penalty by Adam over all rows."""
     flat = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     chosen = telling(flat, owner, target, bits)
     column, n_columns = np.cumsum(chosen) - 1, int(chosen.sum())
     used = chosen[flat]
@@ -189,9 +189,21 @@ def co_train(
             own[other] = own[other] + [pool[other][i] for i, _ in picked]
             labels[other] = np.append(labels[other], [value for _, value in picked])
         free[[i for picked in given for i, _ in picked]] = False
-    logits = np.array([[m.logit(r) for m, r in zip(models, rows, strict=True)] for rows in zip(*kept, strict=True)])
-    weights = logistic(logits, target[held])
-    return models, np.append(np.maximum(weights[:-1], 0.0), weights[-1])
+    logits = np.array(
+        [[m.logit(r) for m, r in zip(models, rows, strict=True)] for rows in zip(*kept, strict=True)]
+    )
+    return models, combine(logits, target[held])
+
+
+def combine(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Weights of the views' logits and an intercept; a view that would vote backwards gets none."""
+    used = np.ones(logits.shape[1], bool)
+    while True:
+        weights = np.zeros(len(used) + 1)
+        weights[np.append(used, True)] = logistic(logits[:, used], target)
+        if (weights[:-1] >= 0).all():
+            return weights
+        used &= weights[:-1] >= 0
 
 
 def training_sample(
@@ -222,14 +234,14 @@ def training_sample(
     return docs.join(F.broadcast(wanted), F.col(doc_id) == F.col("_id"))
 
 
-_FEATURES = "text_f array<int>, meta_f array<int>"
+_FEATURES = "text_f binary, meta_f binary"
 
 
 def _features(df: DataFrame, keep: list[str], text: str, meta: list[str]) -> DataFrame:
     def start():
         return lambda value, *page: (
-            text_features(value).astype(np.int32),
-            meta_features(list(page)).astype(np.int32),
+            text_features(value).tobytes(),
+            meta_features(list(page)).tobytes(),
         )
 
     return map_rows(df, keep, [text, *meta], _FEATURES, start)
@@ -249,7 +261,7 @@ def fit_quality(
     if any(len(set(part.tolist())) < 2 for part in (target[held], target[~held])):
         return None
     split = lambda some: [
-        [np.array(r[name], np.int64) for r in some] for name in ("text_f", "meta_f")
+        [np.frombuffer(r[name], np.uint32) for r in some] for name in ("text_f", "meta_f")
     ]
     free = [r for r in rows if r._label is None]
     return co_train(split(known), target, split(free), [TEXT_BITS, META_BITS], rounds)
