@@ -118,7 +118,7 @@ def _crawl(name: str, title: str, found: str) -> dict[str, str]:
 _CTES: dict[str, str] = {
     "sales": f"""
         SELECT l_partkey AS p_partkey, sum(l_quantity) AS quantity, count(*) AS lines,
-               list_sort(list(DISTINCT n_name) FILTER (WHERE l_quantity >= 46)) AS nations
+               list_sort(list(DISTINCT n_name)) AS nations
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey
         GROUP BY l_partkey""",

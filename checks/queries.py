@@ -258,7 +258,10 @@ def autocomplete_one(spark, sf):
 
 def autocomplete_batch(spark, sf):
     return search.autocomplete(
-        star.entries(spark, sf), star.search_queries(spark, sf), star.postings(spark, sf)
+        star.entries(spark, sf),
+        star.search_queries(spark, sf),
+        star.postings(spark, sf),
+        star.posting_counts(spark, sf),
     )
 
 

@@ -97,7 +97,14 @@ def gram_postings(index: DataFrame) -> DataFrame:
     ).select("p.form", "p.gram", "entry")
 
 
-def _matches(index: DataFrame, postings: DataFrame, texts: DataFrame) -> DataFrame:
+def gram_counts(postings: DataFrame) -> DataFrame:
+    """(form, gram, df): how many entries hold a gram."""
+    return postings.groupBy("form", "gram").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _matches(
+    index: DataFrame, postings: DataFrame, frequency: DataFrame, texts: DataFrame
+) -> DataFrame:
     """Entries per distinct non-empty (q, nq): raw blob contains q, or normalized blob nq.
 
     A containment test is no equi-join, and testing all pairs grows with both sides. Every
@@ -116,7 +123,6 @@ def _matches(index: DataFrame, postings: DataFrame, texts: DataFrame) -> DataFra
             )
         ),
     )
-    frequency = postings.groupBy("form", "gram").agg(F.count(F.lit(1)).alias("df"))
     rarest = (
         needles.select("form", "needle")
         .distinct()
@@ -154,11 +160,15 @@ def _display() -> Column:
 
 
 def autocomplete(
-    index: DataFrame, queries: DataFrame, postings: DataFrame | None = None
+    index: DataFrame,
+    queries: DataFrame,
+    postings: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Suggestions for a table of (request_id, query, limit).
 
-    ``postings`` is ``gram_postings(index)``, best stored next to the index: it is read twice.
+    ``postings`` is ``gram_postings(index)`` and ``counts`` is ``gram_counts(postings)``, both
+    best stored next to the index; otherwise they are worked out on every call.
 
     Equal normalized queries are answered once, up to the largest legal limit, and joined back
     to their requests, so a query that a third of all requests send costs as much as a rare one.
@@ -172,8 +182,9 @@ def autocomplete(
     )
     texts = requests.select("q", "nq").distinct().filter(F.col("q") != "")
     order = Window.partitionBy("q").orderBy(*_static_order())
+    postings = gram_postings(index) if postings is None else postings
     answers = (
-        _matches(index, gram_postings(index) if postings is None else postings, texts)
+        _matches(index, postings, gram_counts(postings) if counts is None else counts, texts)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SUGGEST_MAX)
         .select("q", "rank", "entry")

@@ -13,13 +13,11 @@ from tagweave.functions.lists import no_strings
 from tagweave.functions.text import WHITE_SPACE_RUN, cache_key
 from tagweave.operators.crawl import apply_crawl_cache, clean_crawl
 from tagweave.operators.features import build_items, conform
-from tagweave.operators.search import gram_postings, search_index
+from tagweave.operators.search import gram_counts, gram_postings, search_index
 from tagweave.operators.tags import tag_index
 from tagweave.schemas import SIMILAR
 from tagweave.session import stage_once, tune
 
-BULK_QUANTITY = 46
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,9 +46,7 @@ def _raw_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.sum("l_quantity").alias("quantity"),
             F.count(F.lit(1)).alias("lines"),
-            F.array_sort(
-                F.collect_set(F.when(F.col("l_quantity") >= BULK_QUANTITY, F.col("n_name")))
-            ).alias("nations"),
+            F.array_sort(F.collect_set("n_name")).alias("nations"),
         )
     )
     unlisted = F.col("p_partkey") % 97 == 0
@@ -172,6 +168,13 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def posting_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of postings per gram."""
+    return stage_once(
+        spark, "posting_counts", sf_dir, lambda: gram_counts(postings(spark, sf_dir))
+    )
+
+
 def external_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source 0: parts under upper-cased brands. Source 1: documents, in pairs of one title,
     with all space-separated pieces of their text as tags."""
