@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,7 @@ _SETTINGS = {
 }
 
 _staged: dict[tuple[str, str], str] = {}
+_scopes: list[list[str]] = []
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -51,10 +54,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    place.getFileSystem(conf).delete(place, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, so results have to be written inside, too.
+
+    Tables kept for the whole application (``stage_once``) stay.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_folder(spark, path)
+
+
 def stage_once(spark: SparkSession, name: str, source: str, build) -> DataFrame:
     """Stage ``build()`` the first time it is asked for in this application, then re-read it."""
     key = (spark.sparkContext.applicationId, f"{source}|{name}")

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tagweave.operators.search import search_index, suggest
 from tagweave.operators.tags import tag_index
 from tagweave.operators.variants import consolidate_variants
 from tagweave.plans.build import build_catalogue
-from tagweave.session import shared_folder, stage
+from tagweave.session import shared_folder, stage, staging
 from tagweave.sources import catalogue, crawl_cache, feed
 
 
@@ -241,69 +242,6 @@ def test_cache_files(spark, tmp_path):
     assert {r.cache_key: r.tags for r in again.collect()} == {
         r.cache_key: r.tags for r in cleaned.collect()
     }
-    edges = crawl.similar_edges(crawl.apply_crawl_cache(items, cache))
-    assert [r["rank"] for r in edges.orderBy("rank").collect()] == list(range(1, 10))
-
-
-def test_csv_by_header_name(spark, tmp_path):
-    path = tmp_path / "in.csv"
-    path.write_text(
-        "release_name,position,artist_name,release_date,release_type,primary_genres,"
-        "secondary_genres,descriptors,avg_rating,rating_count,review_count\n"
-        '"A ""q"" title",1,Art,1999,album,"Rock, Pop",NA,dark,4.25,10,3\n'
-        "Plain,2,Art,,album,Rock,NA,,,,\n"
-    )
-    rows = {r.position: r for r in catalogue.read_csv_catalogue(spark, str(path)).collect()}
-    assert rows[1].release_name == 'A "q" title' and rows[1].primary_genres == "Rock, Pop"
-    assert (rows[1].avg_rating, rows[1].rating_count) == (4.25, 10)
-    built = {r.position: r for r in features.build_items(catalogue.read_csv_catalogue(spark, str(path))).collect()}
-    assert (built[2].avg_rating, built[2].rating_count, built[2].descriptors) == (0.0, 0, [])
-
-
-def test_feed_files(spark, tmp_path):
-    first, second = tmp_path / "a.json", tmp_path / "b.json"
-    second.write_text(
-        json.dumps(
-            [
-                {"artist_name": "P", "release_name": "Q", "tags": [{"name": "x"}], "playcount": 3},
-                {"artist_name": "R", "release_name": "S", "listeners": "9"},
-            ]
-        )
-    )
-    assert feed.read_external_feed(spark, [str(first)]) is None
-    got = feed.read_external_feed(spark, [str(first), str(second)]).orderBy("record_seq").collect()
-    assert [(r.source_rank, r.artist_name, r.playcount, r.listeners) for r in got] == [
-        (1, "P", "3", None), (1, "R", None, "9"),
-    ]
-
-
-def test_processed_round_trip(spark, tmp_path):
-    items = _items(spark)
-    assert catalogue.write_processed(items, str(tmp_path / "out")) == {"items": 3, "vocabulary": 4}
-    again, vocabulary = catalogue.read_processed(spark, str(tmp_path / "out"))
-    assert again.schema == schemas.ITEMS
-    assert sorted(r.feature for r in vocabulary.collect()) == ["a", "b", "c", "z"]
-    catalogue.write_json_lines(items, str(tmp_path / "json"))
-    assert spark.read.schema(schemas.ITEMS).json(str(tmp_path / "json")).count() == 3
-
-
-def test_cache_files(spark, tmp_path):
-    path = str(tmp_path / "cache")
-    empty = crawl_cache.read_cache(spark, path)
-    assert empty.count() == 0
-    cleaned = crawl.clean_crawl(spark.createDataFrame(CRAWL, schemas.RAW_CRAWL))
-    crawl_cache.write_cache(empty, cleaned, path)
-    assert crawl_cache.read_cache(spark, path).count() == 3
-    lines = str(tmp_path / "lines")
-    crawl_cache.write_cache(empty, cleaned, lines, "json")
-    (tmp_path / "lines" / "part-x.json").write_text("{broken\n")
-    again = crawl_cache.read_cache(spark, lines, "json")
-    assert {r.cache_key: r.tags for r in again.collect()} == {
-        r.cache_key: r.tags for r in cleaned.collect()
-    }
-    (tmp_path / "bad").mkdir()
-    (tmp_path / "bad" / "part-0.parquet").write_text("not a table")
-    assert crawl_cache.read_cache(spark, str(tmp_path / "bad")).count() == 0
     edges = crawl.similar_edges(crawl.apply_crawl_cache(_named(spark, [(1, "a", "b")]), cleaned))
     crawl_cache.write_similar(edges, str(tmp_path / "edges"))
     assert spark.read.parquet(str(tmp_path / "edges")).count() == 9
@@ -315,6 +253,16 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert all(shared_folder(spark).removeprefix("file:") in f for f in staged.inputFiles())
 
 
+def test_staging_scope_deletes_its_tables(spark):
+    kept = stage(spark.range(3), "kept")
+    with staging(spark):
+        inside = stage(spark.range(5), "inside")
+        folder = Path(inside.inputFiles()[0].removeprefix("file://")).parent
+        assert inside.count() == 5 and folder.exists()
+    assert not folder.exists()
+    assert kept.count() == 3
+
+
 def test_a_cluster_needs_the_setting():
     class Context:
         master = "spark://host:7077"
