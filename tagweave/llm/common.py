@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tagweave.session import stage
+from tagweave.session import delete_folder, stage
 
 # White space of the quality and SimHash contracts: blank and the five ASCII controls.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -39,11 +39,9 @@ def settle(build: Callable[[], DataFrame], name: str) -> DataFrame:
 
 def discard(staged: DataFrame) -> None:
     """Delete a staged table that nothing needs any more."""
-    spark = staged.sparkSession
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged.inputFiles()[0]).getParent()
-    if folder.getParent().toString().endswith("/staged"):
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        folder.getFileSystem(conf).delete(folder, True)
+    folder = staged.inputFiles()[0].rpartition("/")[0]
+    if folder.rpartition("/")[0].endswith("/staged"):
+        delete_folder(staged.sparkSession, folder)
 
 
 def blank_words(text: Column) -> Column:
