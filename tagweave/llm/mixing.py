@@ -9,7 +9,7 @@ counter, no order and no state, so recomputed tasks and other cluster sizes give
 from __future__ import annotations
 
 import math
-from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,13 @@ from pyspark.sql import functions as F
 from tagweave.functions.lists import let
 
 SEED = 42
-# Largest mean that is inverted term by term; larger ones are split into equal parts.
+# Largest mean that is inverted from P(X <= 0) on; larger ones from a table around the mode.
 MAX_PART = 16.0
+# Largest mean that has a table (of some thousand probabilities); larger ones are the sums of
+# equal parts, which share one table.
+MAX_TABLE = 65536.0
+# Copies that a row lists at a time.
+COPY_BLOCK = 1024
 
 
 def uniform(*parts: Column) -> Column:
@@ -40,6 +45,27 @@ def poisson_steps(mean: float) -> list[float]:
     return steps
 
 
+def poisson_table(mean: float) -> tuple[int, list[float]]:
+    """(low, [P(X <= low), P(X <= low + 1), ...]) for large means.
+
+    Terms relative to that of the mode, until they no longer count in double precision.
+    """
+    mode = int(mean)
+    below, term, k = [], 1.0, mode
+    while k > 0 and term > 1e-20:
+        term *= k / mean
+        k -= 1
+        below.append(term)
+    above, term, k = [], 1.0, mode
+    while term > 1e-20:
+        k += 1
+        term *= mean / k
+        above.append(term)
+    terms = [*reversed(below), 1.0, *above]
+    whole = math.fsum(terms)
+    return mode - len(below), [p / whole for p in accumulate(terms)]
+
+
 def target_rates(
     docs: DataFrame, weights: dict[str, float], rest: float, source: Column, mass: Column, scale: float
 ) -> dict[str | None, float]:
@@ -57,14 +83,21 @@ def target_rates(
 
 
 def copies(rates: dict[str | None, float], source: Column, key: Column, seed: int) -> Column:
-    """Poisson number of the row: how many steps of its source's distribution its number passes."""
+    """Poisson number of the row: how many steps of its source's distribution its number passes.
+
+    The expression has one table per source, whatever the rate.
+    """
 
     def drawn(rate: float) -> Column:
-        parts = max(1, math.ceil(rate / MAX_PART))
-        steps = F.array(*[F.lit(p) for p in poisson_steps(rate / parts)])
+        parts = max(1, math.ceil(rate / MAX_TABLE))
+        low, table = (0, poisson_steps(rate)) if rate <= MAX_PART else poisson_table(rate / parts)
+        steps = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
         passed = lambda u: F.size(F.filter(steps, lambda p: p <= u))
-        draws = [let(uniform(key, F.lit(seed), F.lit(i)), passed) for i in range(parts)]
-        return reduce(Column.__add__, draws)
+        one = lambda i: let(uniform(key, F.lit(seed), i), passed) + F.lit(low)
+        if parts == 1:
+            return one(F.lit(0))
+        draws = F.sequence(F.lit(0), F.lit(parts - 1))
+        return F.aggregate(draws, F.lit(0), lambda n, i: n + one(i))
 
     # the first branch is never taken; it lets the rest be chained
     cases = F.when(F.lit(False), 0)
@@ -74,6 +107,19 @@ def copies(rates: dict[str | None, float], source: Column, key: Column, seed: in
     return cases.otherwise(drawn(rates[None]) if rates.get(None) else F.lit(0))
 
 
+def exploded(counted: DataFrame) -> DataFrame:
+    """Rows with ``copy`` n as n rows with ``copy`` 0 to n - 1, listed in blocks."""
+    last = F.col("_copies") - 1
+    start = F.col("_block") * COPY_BLOCK
+    blocks = F.sequence(F.lit(0), F.floor(last / F.lit(COPY_BLOCK)).cast("int"))
+    return (
+        counted.withColumnRenamed("copy", "_copies")
+        .withColumn("_block", F.explode(blocks))
+        .withColumn("copy", F.explode(F.sequence(start, F.least(start + (COPY_BLOCK - 1), last))))
+        .drop("_copies", "_block")
+    )
+
+
 def mix_sources(
     docs: DataFrame,
     weights: dict[str, float],
@@ -104,9 +150,7 @@ def mix_sources(
     rates = target_rates(docs, weights, rest, F.col(source), mass, scale)
     key = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
     counted = docs.withColumn("copy", copies(rates, F.col(source), key, seed))
-    copied = counted.filter("copy > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copy") - 1))
-    )
+    copied = exploded(counted.filter("copy > 0"))
     order = F.md5(F.concat_ws(":", F.lit("order"), F.lit(seed), key, F.col("copy")))
     return (
         copied.withColumn("shuffle_key", order)

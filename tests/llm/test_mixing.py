@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tagweave.llm.mixing import copies, mix_sources, poisson_steps
+from tagweave.llm.mixing import MAX_TABLE, copies, mix_sources, poisson_steps, poisson_table
 
 
 def test_steps_are_the_distribution():
@@ -27,6 +27,40 @@ def test_counts_follow_the_distribution(spark):
         assert abs(variance / rate - 1) < 0.08
 
 
+def test_tables_around_the_mode():
+    for mean in (16.5, 300.25, 11000.0, MAX_TABLE):
+        low, steps = poisson_table(mean)
+        # a unit in the last place of the exponent's terms is all the comparison can resolve
+        near = 1e-13 * (1 + mean * math.log(mean))
+        pmf = [math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(low, low + len(steps))]
+        assert all(abs(b - a - p) <= near for a, b, p in zip(steps, steps[1:], pmf[1:], strict=False))
+        assert steps[0] < 1e-15 or low == 0
+        assert 1 - steps[-1] < 1e-12 and len(steps) < 6000
+
+
+def test_large_means(spark):
+    n = 3000
+    for rate in (100.0, 11000.0, 675000.0):
+        df = spark.range(n).select(copies({"s": rate}, F.lit("s"), F.col("id").cast("string"), 42).alias("k"))
+        ks = [r.k for r in df.collect()]
+        mean = sum(ks) / n
+        variance = sum((k - mean) ** 2 for k in ks) / n
+        assert abs(mean - rate) < 5 * math.sqrt(rate / n)
+        assert abs(variance / rate - 1) < 0.13
+
+
+def test_a_source_with_hardly_any_text_left(spark):
+    schema = "doc_id bigint, text string, source string"
+    docs = spark.createDataFrame([(0, "x", "small")] + [(i, "y" * 2000, "big") for i in range(1, 21)], schema)
+    out = mix_sources(docs, {"small": 1.0, "big": 1.0})
+    counts = Counter()
+    for r in out.select("doc_id", "copy").collect():
+        counts[r.doc_id] += 1
+        counts["last"] = max(counts["last"], r.copy)
+    assert abs(counts[0] - 20000) < 6 * math.sqrt(20000) and counts["last"] == counts[0] - 1
+    assert out.select("doc_id", "copy").distinct().count() == out.count()
+
+
 def test_target_shares_and_order(spark):
     rows = [(i, "x" * 100, "hot" if i % 3 else f"s{i % 4}", 1) for i in range(12000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copy int")
