@@ -3,6 +3,7 @@
 Strong patterns report a secret by themselves. Parts that are too weak for that (a short assigned
 value, a mixed token without a keyword, a user name, an address) are reported only when parts of
 a complementary role lie near them in the same scope: a secret beside an identifier or endpoint.
+Parts of different roles may overlap, as where an address holds a token.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ KINDS = ("assign", "access", "hex", "weak_secret", "weak_identifier", "endpoint"
 _ORDER = {kind: i for i, kind in enumerate(KINDS)}
 _SECRETS = {"assign", "hex", "weak_secret"}
 _PARTNERS = {"access", "weak_identifier", "endpoint"}
+# Parts overlap others of their own role only if one of them goes.
+_ROLE = dict.fromkeys(_SECRETS, "secret") | {
+    "access": "identifier", "weak_identifier": "identifier", "endpoint": "endpoint"
+}
 
 Span = tuple[str, int, int]
 
@@ -78,20 +83,42 @@ def _mixed(token: str) -> bool:
     )
 
 
+class _Places:
+    """Spans, and whether one of them touches a place."""
+
+    def __init__(self, spans: list[Span]):
+        taken = sorted((start, end) for _, start, end in spans)
+        self.starts = [start for start, _ in taken]
+        self.last_end = list(accumulate((end for _, end in taken), max))
+
+    def touch(self, start: int, end: int) -> bool:
+        before = bisect_right(self.starts, end - 1)
+        return before > 0 and self.last_end[before - 1] > start
+
+
 def weak_parts(text: str, strong: list[Span], short: list[Span]) -> list[Span]:
-    """Weak parts that no strong span and no earlier weak secret or identifier touches."""
-    found = list(short)
-    found += [("weak_identifier", m.start(), m.end()) for m in IDENTIFIER.finditer(text)]
-    found += [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+    """Weak parts that no strong span and no earlier weak part of their role touches.
+
+    A token without a keyword that touches an identifier or a named host is that part's value.
+    """
+    named = [("weak_identifier", m.start(), m.end()) for m in IDENTIFIER.finditer(text)]
+    endpoints = [("endpoint", m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+    hosts = [e for e in endpoints if "://" not in text[e[1] : e[2]]]
+    identifiers = [part for part in [*strong, *short, *named] if _ROLE[part[0]] == "identifier"]
+    valued = _Places([*identifiers, *hosts])
+    found = [*short, *named, *endpoints]
     found += [
-        ("weak_secret", m.start(), m.end()) for m in BARE.finditer(text) if _mixed(m.group())
+        ("weak_secret", m.start(), m.end())
+        for m in BARE.finditer(text)
+        if _mixed(m.group()) and not valued.touch(m.start(), m.end())
     ]
-    taken = sorted((start, end) for _, start, end in strong)
-    kept = []
+    by_role = {r: _Places([s for s in strong if _ROLE[s[0]] == r]) for r in set(_ROLE.values())}
+    kept, ends = [], dict.fromkeys(by_role, -1)
     for kind, start, end in sorted(found, key=lambda s: (s[1], _ORDER[s[0]], s[2])):
-        at = bisect_right(taken, (end - 1, len(text) + 1))
-        if (at and taken[at - 1][1] > start) or (kept and kept[-1][2] > start):
+        role = _ROLE[kind]
+        if ends[role] > start or by_role[role].touch(start, end):
             continue
+        ends[role] = end
         kept.append((kind, start, end))
     return kept
 
