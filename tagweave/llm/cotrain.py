@@ -1,26 +1,33 @@
 """Quality classifier by co-training of two views.
 
 One classifier sees the words and shape of the text, the other the metadata of the page. Each
-labels those unlabelled documents it is sure of for the other, for a few rounds. Both are then
-calibrated on labelled documents that neither was trained on, and combined.
+labels all those unlabelled documents it is sure of for the other, for a few rounds: the other
+learns from the numbers of good and bad ones of them that each feature occurs in, which Spark
+sums. Both are calibrated on labelled documents that neither was trained on, and combined.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import map_rows
+from tagweave.llm.common import SLICE_ROWS, discard, map_rows, settle
+from tagweave.session import stage
 
-# Bounds of what training reads: labelled and unlabelled documents, the first by hash of their id.
-LABELLED, UNLABELLED = 8000, 4000
+# Bound of the labelled documents that training reads, the first by hash of their id.
+LABELLED = 8000
+# Ids of labelled documents that are broadcast, at most; more of them are joined by a shuffle.
+FEW_IDS = 200_000
 HELD_SHARE = 0.3  # of the labelled sample, for calibration
-ROUNDS, PER_ROUND, SURE = 3, 400, 0.95
+ROUNDS, SURE = 3, 0.95
+SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
 TEXT_BITS, META_BITS = 22, 12
 STEMS = (6, 7, 8)  # bytes that words begin with; once, and more than once
 MIN_DOCS = 4  # training documents that a feature must occur in
@@ -153,42 +160,160 @@ def _base_rate(target: np.ndarray) -> float:
     return float(np.log(share / (1 - share)))
 
 
+def lessons(history: list[list[Linear]], features: list[np.ndarray]) -> list[float | None]:
+    """What each view says of a document in the first round in which one of them is sure."""
+    for models in history:
+        logits = [m.logit(f) for m, f in zip(models, features, strict=True)]
+        if max(map(abs, logits)) >= SURE_LOGIT:
+            return [float(x > 0) if abs(x) >= SURE_LOGIT else None for x in logits]
+    return [None] * len(features)
+
+
+def lesson_counts(
+    history: list[list[Linear]], chunks: Iterable[list[list[np.ndarray]]], bits: list[int]
+) -> list[np.ndarray]:
+    """Per view, numbers of bad and good documents by feature, as labelled by the other view.
+
+    The last column counts the documents. ``chunks`` hold documents, these their views' features.
+    """
+    counts = [np.zeros((2, (1 << b) + 1), np.int32) for b in bits]
+    for chunk in chunks:
+        taught = [([], []) for _ in bits]
+        for features in chunk:
+            for view, label in enumerate(lessons(history, features)):
+                if label is not None:
+                    taught[1 - view][int(label)].append(features[1 - view])
+        for count, classes in zip(counts, taught, strict=True):
+            for of_class, rows in zip(count, classes, strict=True):
+                if rows:
+                    found, n = np.unique(np.concatenate(rows), return_counts=True)
+                    of_class[found] += n.astype(np.int32)
+                    of_class[-1] += len(rows)
+    return counts
+
+
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray, int, int]  # features, bad, good, all bad, all good
+
+
+def off_base(bad, good, all_bad: float, all_good: float, root=np.sqrt):
+    """Standard deviations by which features' shares of good documents are off that of all."""
+    base = all_good / (all_bad + all_good)
+    return (good - (bad + good) * base) / root((bad + good) * base * (1 - base))
+
+
+def taught(counts: Counts, bits: int) -> Linear | None:
+    """Naive Bayes over the counted documents; None unless there are good and bad ones."""
+    features, bad, good, all_bad, all_good = counts
+    if not all_bad or not all_good:
+        return None
+    weights = np.zeros(1 << bits, np.float32)
+    weights[features] = np.log((good + 0.5) / (all_good + 1)) - np.log((bad + 0.5) / (all_bad + 1))
+    return Linear(weights, 0.0)
+
+
+def joined(own: Linear, more: Linear | None, rows: list[np.ndarray], target: np.ndarray) -> Linear:
+    """Sum of two models with the weights that suit the held documents best."""
+    if more is None:
+        return own
+    raw = np.array([[own.raw(r), more.raw(r)] for r in rows])
+    scale = np.maximum(np.abs(raw).mean(axis=0), 1e-6)
+    a, b, _ = combine(raw / scale, target) / np.append(scale, 1.0)
+    if a <= 0 and b <= 0:
+        return own
+    return Linear((a * own.weights + b * more.weights).astype(np.float32), a * own.bias)
+
+
+def counted_here(pool: list[list[np.ndarray]], bits: list[int]) -> Callable[..., list[Counts]]:
+    """Counting of lessons over features in memory."""
+
+    def count(history):
+        found = lesson_counts(history, [[list(doc) for doc in zip(*pool, strict=True)]], bits)
+        out = []
+        for bad, good in found:
+            n = bad[:-1] + good[:-1]
+            f = np.flatnonzero(n >= MIN_DOCS)
+            if bad[-1] and good[-1]:
+                f = f[np.abs(off_base(bad[f], good[f], bad[-1], good[-1])) >= SIGNIFICANT]
+            out.append((f, bad[f], good[f], int(bad[-1]), int(good[-1])))
+        return out
+
+    return count
+
+
+def counted_in_spark(pool: DataFrame, bits: list[int]) -> Callable[..., list[Counts]]:
+    """Counting of lessons over all rows of ``pool`` (text_f, meta_f), which is staged.
+
+    Tasks emit a row per feature they met, Spark sums them; of the sums only features that tell
+    something leave it, at most one row per hash value, whatever the size of the corpus.
+    """
+    spark = pool.sparkSession
+
+    def count(history):
+        sent = spark.sparkContext.broadcast(history)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def chunks():
+                for batch in batches:
+                    for first in range(0, batch.num_rows, SLICE_ROWS):
+                        columns = [c.to_pylist() for c in batch.slice(first, SLICE_ROWS).columns]
+                        yield [[np.frombuffer(v, np.uint32) for v in doc] for doc in zip(*columns, strict=True)]
+
+            for view, (bad, good) in enumerate(lesson_counts(sent.value, chunks(), bits)):
+                f = np.flatnonzero(bad + good)
+                arrays = [np.full(len(f), view, np.int32), f.astype(np.int32), bad[f].astype(np.int64), good[f].astype(np.int64)]
+                for at in range(0, len(f), 1 << 16):
+                    part = [pa.array(x[at : at + (1 << 16)]) for x in arrays]
+                    yield pa.RecordBatch.from_arrays(part, names=["view", "feature", "bad", "good"])
+
+        def sums():
+            rows = pool.select("text_f", "meta_f").mapInArrow(run, "view int, feature int, bad bigint, good bigint")
+            return rows.groupBy("view", "feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+        summed = settle(sums, "lesson-counts")
+        out = []
+        for view, b in enumerate(bits):
+            mine = summed.filter(F.col("view") == view)
+            total = mine.filter(F.col("feature") == 1 << b).first()
+            all_bad, all_good = (total.bad, total.good) if total else (0, 0)
+            chosen = mine.filter((F.col("feature") < 1 << b) & (F.col("bad") + F.col("good") >= MIN_DOCS))
+            if all_bad and all_good:
+                off = off_base(F.col("bad"), F.col("good"), all_bad, all_good, F.sqrt)
+                table = chosen.filter(F.abs(off) >= SIGNIFICANT).select("feature", "bad", "good").toArrow()
+            else:
+                table = chosen.limit(0).select("feature", "bad", "good").toArrow()
+            out.append((*[table.column(i).to_numpy() for i in range(3)], all_bad, all_good))
+        discard(summed)
+        sent.unpersist()
+        return out
+
+    return count
+
+
 def co_train(
-    views: list[list[np.ndarray]], target: np.ndarray, pool: list[list[np.ndarray]], bits: list[int],
-    rounds: int = ROUNDS,
+    views: list[list[np.ndarray]], target: np.ndarray, pool: list[list[np.ndarray]] | Callable[..., list[Counts]],
+    bits: list[int], rounds: int = ROUNDS,
 ) -> tuple[list[Linear], np.ndarray]:
     """Calibrated models of both views and the coefficients that combine their logits.
 
-    ``views`` and ``pool`` hold the features per view of labelled and unlabelled documents. Every
-    third labelled document or so is kept for calibration and never trained on.
+    ``views`` hold the features per view of labelled documents, ``pool`` those of unlabelled ones,
+    or counts the lessons over them. Every third labelled document or so is kept for calibration
+    and never trained on.
     """
+    count = pool if callable(pool) else counted_here(pool, bits)
     held = np.arange(len(target)) % 10 < HELD_SHARE * 10
-    own = [[r for r, h in zip(view, held, strict=True) if not h] for view in views]
-    labels = [target[~held].astype(float) for _ in views]
     kept = [[r for r, h in zip(view, held, strict=True) if h] for view in views]
-    free = np.ones(len(pool[0]), bool)
-    models = []
-    for turn in range(rounds + 1):
+    own = [
+        train([r for r, h in zip(view, held, strict=True) if not h], target[~held].astype(float), b)
+        for view, b in zip(views, bits, strict=True)
+    ]
+    models = [calibrate(Linear(m.weights, m.bias), k, target[held]) for m, k in zip(own, kept, strict=True)]
+    history = []
+    for _ in range(rounds):
+        history.append(models)
         models = [
-            calibrate(train(rows, y, b), k, target[held])
-            for rows, y, b, k in zip(own, labels, bits, kept, strict=True)
+            calibrate(joined(m, taught(c, b), k, target[held]), k, target[held])
+            for m, c, b, k in zip(own, count(history), bits, kept, strict=True)
         ]
-        if turn == rounds or not free.any():
-            break
-        given = []
-        for model, rows in zip(models, pool, strict=True):
-            sure = _sigmoid(np.array([model.logit(r) for r in rows]))
-            picked = []
-            for value, score in ((1.0, sure), (0.0, 1 - sure)):
-                able = np.flatnonzero(free & (score >= SURE))
-                share = max(0.1, np.mean(target == value))
-                best = able[np.argsort(-score[able], kind="stable")][: int(PER_ROUND * share)]
-                picked += [(int(i), value) for i in best]
-            given.append(picked)
-        for other, picked in ((1, given[0]), (0, given[1])):
-            own[other] = own[other] + [pool[other][i] for i, _ in picked]
-            labels[other] = np.append(labels[other], [value for _, value in picked])
-        free[[i for picked in given for i, _ in picked]] = False
     logits = np.array(
         [[m.logit(r) for m, r in zip(models, rows, strict=True)] for rows in zip(*kept, strict=True)]
     )
@@ -206,10 +331,8 @@ def combine(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
         used &= weights[:-1] >= 0
 
 
-def training_sample(
-    docs: DataFrame, labels: DataFrame, doc_id: str, labelled: int, unlabelled: int
-) -> DataFrame:
-    """All columns of bounded numbers of documents, with ``_label`` (1 good, 0 bad, null none).
+def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, labelled: int) -> DataFrame:
+    """All columns of a bounded number of labelled documents, with ``_label`` (1 good, 0 bad).
 
     A document is good if its quality is 1 and it is not toxic; of repeated labels the worst
     counts. The documents with the smallest hash of their id are taken, from narrow tables.
@@ -221,19 +344,17 @@ def training_sample(
         .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("int")).alias("_label"))
     )
     ids = docs.select(F.col(doc_id).alias("_id"))
-    some = known.join(ids, "_id", "left_semi").orderBy(order, "_id").limit(labelled)
-    others = (
-        ids.filter(F.col("_id").isNotNull())
-        .join(labels.select(F.col("doc_id").alias("_id")), "_id", "left_anti")
-        .distinct()
-        .orderBy(order, "_id")
-        .limit(unlabelled)
-        .withColumn("_label", F.lit(None).cast("int"))
-    )
-    wanted = some.unionByName(others)  # at most labelled + unlabelled rows of two numbers
+    wanted = known.join(ids, "_id", "left_semi").orderBy(order, "_id").limit(labelled)
     return docs.join(F.broadcast(wanted), F.col(doc_id) == F.col("_id"))
 
 
+def unlabelled(docs: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
+    """All rows of documents without a label."""
+    ids = labels.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id")).distinct()
+    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
+    return docs.join(F.broadcast(ids) if few else ids, F.col(doc_id) == F.col("_id"), "left_anti")
+
+
 _FEATURES = "text_f binary, meta_f binary"
 
 
@@ -249,22 +370,22 @@ def _features(df: DataFrame, keep: list[str], text: str, meta: list[str]) -> Dat
 
 def fit_quality(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, meta: list[str],
-    labelled: int, unlabelled: int, rounds: int,
+    labelled: int, rounds: int,
 ) -> tuple[list[Linear], np.ndarray] | None:
     """The models, or None if the labels leave nothing to tell apart."""
-    chosen = training_sample(docs, labels, doc_id, labelled, unlabelled)
+    chosen = training_sample(docs, labels, doc_id, labelled)
     rows = _features(chosen, ["_id", "_label"], text, meta).collect()  # bounded by the sample
     rows = sorted({r._id: r for r in rows}.values(), key=lambda r: zlib.crc32(str(r._id).encode()))
-    known = [r for r in rows if r._label is not None]
-    target = np.array([r._label for r in known], float)
+    target = np.array([r._label for r in rows], float)
     held = np.arange(len(target)) % 10 < HELD_SHARE * 10
     if any(len(set(part.tolist())) < 2 for part in (target[held], target[~held])):
         return None
-    split = lambda some: [
-        [np.frombuffer(r[name], np.uint32) for r in some] for name in ("text_f", "meta_f")
-    ]
-    free = [r for r in rows if r._label is None]
-    return co_train(split(known), target, split(free), [TEXT_BITS, META_BITS], rounds)
+    views = [[np.frombuffer(r[name], np.uint32) for r in rows] for name in ("text_f", "meta_f")]
+    bits = [TEXT_BITS, META_BITS]
+    free = stage(_features(unlabelled(docs, labels, doc_id), [], text, meta), "unlabelled-features")
+    fitted = co_train(views, target, counted_in_spark(free, bits), bits, rounds)
+    discard(free)
+    return fitted
 
 
 def score_quality(
@@ -275,18 +396,18 @@ def score_quality(
     text: str = "text",
     meta: tuple[str, ...] = ("source", "lang", "n_chars"),
     labelled: int = LABELLED,
-    unlabelled: int = UNLABELLED,
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """The columns ``keep`` of each row and a struct ``_quality`` (p_text, p_meta, score, accepted).
 
     ``docs`` may be the table the labels speak of, or what is left of it. Training reads a bounded
-    sample (``labelled`` and ``unlabelled`` documents), everything else reads every document. Null
-    texts have the features of empty ones, null metadata is a value like others. Without labels of
+    sample of ``labelled`` documents and, in each round, the staged features of every document
+    without a label, repeated rows as often as they occur. Null texts have the features of empty
+    ones, null metadata is a value like others. Without labels of
     both kinds nothing can be learned: scores are null and all documents are accepted. Ties and
     repeated rows are judged alike, an empty table gives an empty one.
     """
-    fitted = fit_quality(docs, labels, doc_id, text, list(meta), labelled, unlabelled, rounds)
+    fitted = fit_quality(docs, labels, doc_id, text, list(meta), labelled, rounds)
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def start():

@@ -7,6 +7,8 @@ from tagweave.llm.cotrain import (
     Linear,
     calibrate,
     co_train,
+    counted_here,
+    counted_in_spark,
     keep_accepted,
     logistic,
     quality_scores,
@@ -58,6 +60,18 @@ def test_calibration_gives_shares():
     assert calibrate(backwards, rows, (x < 0).astype(float)).slope >= 0
 
 
+def test_every_sure_document_teaches(spark):
+    """6,000 documents that both views are sure of: all are counted, in Spark as in memory."""
+    pool = [[np.array([i % 2, 2 + i % 7], np.uint32) for i in range(6000)] for _ in range(2)]
+    sure = Linear(np.array([9.0, -9.0] + [0.0] * 14, np.float32), 0.0)
+    rows = [(a.tobytes(), b.tobytes()) for a, b in zip(*pool, strict=True)]
+    df = spark.createDataFrame(rows, "text_f binary, meta_f binary").repartition(5)
+    for count in (counted_here(pool, [4, 4]), counted_in_spark(df, [4, 4])):
+        for features, bad, good, all_bad, all_good in count([[sure, sure]]):
+            assert (all_bad, all_good) == (3000, 3000)
+            assert sorted(zip(features, bad, good, strict=True)) == [(0, 0, 3000), (1, 3000, 0)]
+
+
 SCHEMA = "doc_id bigint, text string, source string, lang string, n_chars bigint, score string"
 
 
