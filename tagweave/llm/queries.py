@@ -43,10 +43,12 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = ["source", "lang", "doc_id"]
     counts = stage(token_counts(docs, tokenizers, keep), "token-counts")
     revised = docs.filter(F.col("new_text") != F.col("text"))
-    old = stage(token_counts(revised, tokenizers, keep), "old-token-counts")
-    new = stage(token_counts(revised, tokenizers, keep, "new_text"), "new-token-counts")
     words = F.filter("n_tokens", lambda x: x["tokenizer"] == "words-1")
     short = F.get(words, F.lit(0))["n"] < 50
+    old = stage(token_counts(revised, tokenizers, [*keep, "new_text"]), "old-token-counts")
+    # whether a document was deleted is a matter of its old count, also where the new one is less
+    deleted = old.withColumn("deleted", short)
+    new = stage(token_counts(deleted, tokenizers, [*keep, "deleted"], "new_text"), "new-token-counts")
 
     rollup = Rollup(spark, f"{shared_folder(spark)}/rollups/{uuid.uuid4().hex}")
     first_version = F.col("tokenizer") == "words-1"
@@ -54,7 +56,7 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "1-load": signed(counts, 1, first_version),
         "2-new-tokenizer": signed(counts, 1, ~first_version),
         "3-delete-short": signed(counts.filter(short), -1),
-        "4-redact": signed(old.filter(~short), -1).unionByName(signed(new.filter(~short), 1)),
+        "4-redact": signed(old.filter(~short), -1).unionByName(signed(new.filter("NOT deleted"), 1)),
     }
     for batch_id, changes in [*batches.items(), *batches.items()]:
         rollup.commit(batch_id, changes)

@@ -86,3 +86,15 @@ def test_life_of_the_corpus(spark, coder, sf_dir):
         got[r.source, r.lang, r.tokenizer, "docs"] = r.n_docs
         got[r.source, r.lang, r.tokenizer, "tokens"] = r.n_tokens
     assert got == want
+
+
+def test_document_that_a_redaction_makes_short(spark, tmp_path):
+    """50 words of which two are one address to the redaction: it is counted anew, not lost."""
+    text = " ".join(["word"] * 48) + " me@example.com\u3000again"
+    docs = [(1, text, "en", "s"), (2, "too@short.com", "en", "s")]
+    schema = "doc_id bigint, text string, lang string, source string"
+    spark.createDataFrame(docs, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.tokenizer: r for r in op2_token_rollup(spark, str(tmp_path)).collect()}
+    assert len(text.split()) == 50
+    assert rows["words-1"].n_docs == rows["bpe50k-1"].n_docs == 1
+    assert rows["words-1"].n_tokens == 49
