@@ -180,6 +180,43 @@ FROM docs LEFT JOIN (SELECT doc_id, list_sort(list(i)) AS removed FROM gone GROU
 """
 
 
+# All n-grams of all pieces are counted, then cut, compared with longer ones and ranked.
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM listed GROUP BY lang
+), grams AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase FROM (
+    SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i
+    FROM listed, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+), counts AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, m, phrase, f, k, array_to_string(w[1 : k], ' ') AS p, array_to_string(w[k + 1 :], ' ') AS q
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM counts WHERE m > 1)
+), scores AS (
+  SELECT c.lang, c.m, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+    (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.p
+    JOIN counts y ON y.lang = c.lang AND y.phrase = c.q JOIN totals t ON t.lang = c.lang
+), least AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM least c WHERE NOT EXISTS (
+    SELECT 1 FROM counts b WHERE b.lang = c.lang AND b.m > c.m AND b.f >= c.a
+      AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op4_decontaminate": _BENCHMARK,
@@ -187,4 +224,5 @@ def statements() -> dict[str, str]:
         "op7_mix_sources": _MIX,
         "op9_chat_format": _CHAT,
         "op10_line_dedup": _LINES,
+        "op11_collocations": _PHRASES,
     }

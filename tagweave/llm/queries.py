@@ -5,20 +5,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.llm.chat import chat_digest, format_chat, records_of
+from tagweave.llm.collocations import collocations
 from tagweave.llm.common import table
 from tagweave.llm.cotrain import quality_scores
 from tagweave.llm.decontaminate import contamination_digest, match_benchmark
 from tagweave.llm.language import identify_languages
 from tagweave.llm.lines import dedup_lines
 from tagweave.llm.mixing import mix_sources
+from tagweave.llm.records import byte_bpe_encoder, read_digests, write_records
 from tagweave.llm.rollup import Rollup, bpe_counter, signed, token_counts, word_counter
 from tagweave.llm.rules import quality_rules
 from tagweave.llm.secrets import scan_secrets, secret_digest
 from tagweave.llm.simhash import simhash_components, simhash_digest
+from tagweave.llm.whitening import whiten
 from tagweave.session import shared_folder, stage
 
 # Target mixture of the corpus: the large source is held to a tenth, the others share evenly.
@@ -113,6 +117,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents")).drop("near_doc_id")
+
+
+def op12_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to a folder of its own, which stays, and read back from there."""
+    folder = f"{shared_folder(spark)}/records/{uuid.uuid4().hex}"
+    encoder = byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    return read_digests(write_records(table(spark, sf_dir, "documents"), folder, encoder))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     queries = [
         op1_quality_classifier,
@@ -125,5 +144,8 @@ def registered() -> dict[str, Query]:
         op8_language_id,
         op9_chat_format,
         op10_line_dedup,
+        op11_collocations,
+        op12_token_records,
+        op13_embedding_whitening,
     ]
     return {query.__name__: query for query in queries}
