@@ -162,7 +162,7 @@ def leading(
         top = max(values[0], 0.0)
         off = np.linalg.norm(vq - q * values, axis=0)[:count].max()
         settled = off <= FINEST * top or (off <= CERTAIN * top and off > last / 2)
-        if top == 0 or size == width or values[-1] <= FINEST * top or settled:
+        if top == 0 or size == width or settled:
             missed = _beyond(multiply, ritz, orthonormal, q[:, :count], values[:count], rng)
             if missed is None:
                 return values[:count], q[:, :count]
@@ -171,7 +171,8 @@ def leading(
             last = np.inf
             continue
         last = off
-        values, q, vq = ritz(orthonormal(damped(multiply, q, vq, values[-1], top)))
+        vanishing = values[-1] <= FINEST * top  # nothing to damp beyond the block
+        values, q, vq = ritz(orthonormal(vq if vanishing else damped(multiply, q, vq, values[-1], top)))
     raise RuntimeError(f"no {count} certified components after {MOST_ROUNDS} rounds")
 
 
@@ -185,7 +186,8 @@ def _beyond(multiply, ritz, orthonormal, q, values, rng) -> np.ndarray | None:
         probe = orthonormal(probe - q @ (q.T @ probe))
         probe = multiply(probe)
     found, vectors, _ = ritz(orthonormal(probe - q @ (q.T @ probe)))
-    return vectors[:, 0] if found[0] > values[-1] * (1 + 1e-9) else None
+    error = CERTAIN * values[0]
+    return vectors[:, 0] if found[0] > values[-1] * (1 + 1e-9) + error else None
 
 
 def whiten(

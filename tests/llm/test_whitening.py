@@ -76,7 +76,7 @@ def test_against_a_dense_solver(spark):
     table = [(i, [float(v) for v in r]) for i, r in enumerate(rows)]
     damaged = [(900, None), (901, [None] * 40), (902, [math.nan] * 40), (903, [math.inf] * 40), (904, []),
                (905, [1.0] * 39), (906, [1e30] * 40)]
-    docs = spark.createDataFrame(table + damaged, SCHEMA).repartition(6)
+    docs = spark.createDataFrame(table + damaged, SCHEMA).repartition(2)
     for name in ("x", "width", "n", "cell", "part", "component"):
         docs = docs.withColumn(name, F.lit("?"))
     found = whiten(docs).collect()
