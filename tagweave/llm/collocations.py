@@ -140,18 +140,15 @@ def windows(texts: list[bytes], limit: int = WINDOW_BYTES, overlap: int = MAX_WO
     and the ``overlap`` words before it are seen again, as words that are not new.
     """
     data = b"\n".join(texts).translate(_LOWER)
-    begin, seen = 0, 0
-    while begin < len(data):
-        end = begin + limit
-        if end < len(data):
-            while end < len(data) and _KINDS[data[end]] == _IN_WORD:
-                end += 1
+    begin, end, seen = 0, 0, 0
+    while end < len(data):
+        end += limit
+        while end < len(data) and _KINDS[data[end]] == _IN_WORD:
+            end += 1
         words = Words(data[begin:end], seen)
         yield words
-        if end >= len(data):
-            return
-        keep = min(overlap, len(words.start))
-        begin, seen = (begin + int(words.start[-keep]) if keep else end), keep
+        seen = min(overlap, len(words.start))
+        begin = begin + int(words.start[-seen]) if seen else end
 
 
 def seed_of(lang: str | None) -> int:
