@@ -40,7 +40,7 @@ class Mapping:
 
 def _list_shapes(name: str, *fields: str) -> tuple[str, ...]:
     element = ", ".join(f"{f}: _" for f in sorted(fields))
-    return (f"OBJECT<{name}: ARRAY<OBJECT<{element}>>>", f"OBJECT<{name}: ARRAY<_>>")
+    return (f"OBJECT<{name}: ARRAY<OBJECT<{element}>>>", f"OBJECT<{name}: ARRAY<VOID>>")
 
 
 def _flat_shape(*fields: str) -> str:
@@ -69,9 +69,13 @@ MAPPINGS = (
 
 
 def field_paths(record: Column) -> Column:
-    """Nested field paths of a JSON record, with every scalar type written as ``_``."""
+    """Nested field paths of a JSON record, with every scalar type written as ``_``.
+
+    Lists without a value stay ``ARRAY<VOID>``, so an empty list of turns is no list of strings, and
+    what is an object here and a string there stays ``VARIANT``, which no mapping takes.
+    """
     schema = F.schema_of_variant(F.try_parse_json(record))
-    scalar = r"\b(?:STRING|BIGINT|DOUBLE|BOOLEAN|VOID|VARIANT|DECIMAL\(\d+,\s?\d+\))(?=[,>]|$)"
+    scalar = r"\b(?:STRING|BIGINT|DOUBLE|BOOLEAN|(?<!ARRAY<)VOID|DECIMAL\(\d+,\s?\d+\))(?=[,>]|$)"
     return F.regexp_replace(schema, scalar, "_")
 
 
@@ -169,7 +173,8 @@ def format_chat(
     is put together in the task that already holds its turns. A record is one output row, so all
     turns of one record meet; nothing else does. Null texts and roles count as empty, records with
     the same id and content count once, those with the same id and other content separately;
-    records of unknown layout or broken JSON keep a row with null ``layout`` and ``formatted``;
+    records of unknown layout, also lists of unlike elements, or of broken JSON keep a row with null
+    ``layout`` and ``formatted``;
     records without turns give an empty text; an empty table gives an empty one.
     """
     found = canonical_turns(records, record_id, record, mappings)

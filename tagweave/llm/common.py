@@ -25,6 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as make it no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def settle(build: Callable[[], DataFrame], name: str) -> DataFrame:
     """Stage what ``build`` returns, then let Spark's cleaner delete the shuffle files behind it.
 

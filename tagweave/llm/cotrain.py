@@ -1,7 +1,7 @@
 """Quality classifier by co-training of two views.
 
 One classifier sees the words and shape of the text, the other the metadata of the page. Each
-labels all those unlabelled documents it is sure of for the other, for a few rounds: the other
+labels all those documents outside the labelled sample it is sure of for the other, for a few rounds: the other
 learns from the numbers of good and bad ones of them that each feature occurs in, which Spark
 sums. Both are calibrated on labelled documents that neither was trained on, and combined.
 """
@@ -18,13 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import SLICE_ROWS, discard, map_rows, settle
+from tagweave.llm.common import SLICE_ROWS, discard, map_rows, settle, unused
 from tagweave.session import stage
 
 # Bound of the labelled documents that training reads, the first by hash of their id.
 LABELLED = 8000
-# Ids of labelled documents that are broadcast, at most; more of them are joined by a shuffle.
-FEW_IDS = 200_000
 HELD_SHARE = 0.3  # of the labelled sample, for calibration
 ROUNDS, SURE = 3, 0.95
 SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
@@ -331,28 +329,21 @@ def combine(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
         used &= weights[:-1] >= 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, doc_id: str, labelled: int) -> DataFrame:
-    """All columns of a bounded number of labelled documents, with ``_label`` (1 good, 0 bad).
+def sampled_ids(docs: DataFrame, labels: DataFrame, doc_id: str, labelled: int) -> DataFrame:
+    """(id, label) of a bounded number of labelled documents, label 1 good, 0 bad.
 
     A document is good if its quality is 1 and it is not toxic; of repeated labels the worst
     counts. The documents with the smallest hash of their id are taken, from narrow tables.
     """
-    order = F.xxhash64(F.col("_id"), F.lit("sample"))
+    order = F.xxhash64(F.col("id"), F.lit("sample"))
+    good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)
     known = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) != 1)).cast("int")).alias("_label"))
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.min(good.cast("int")).alias("label"))
     )
-    ids = docs.select(F.col(doc_id).alias("_id"))
-    wanted = known.join(ids, "_id", "left_semi").orderBy(order, "_id").limit(labelled)
-    return docs.join(F.broadcast(wanted), F.col(doc_id) == F.col("_id"))
-
-
-def unlabelled(docs: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
-    """All rows of documents without a label."""
-    ids = labels.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id")).distinct()
-    few = ids.limit(FEW_IDS + 1).count() <= FEW_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col(doc_id) == F.col("_id"), "left_anti")
+    ids = docs.select(F.col(doc_id).alias("id"))
+    return known.join(ids, "id", "left_semi").orderBy(order, "id").limit(labelled)
 
 
 _FEATURES = "text_f binary, meta_f binary"
@@ -373,16 +364,26 @@ def fit_quality(
     labelled: int, rounds: int,
 ) -> tuple[list[Linear], np.ndarray] | None:
     """The models, or None if the labels leave nothing to tell apart."""
-    chosen = training_sample(docs, labels, doc_id, labelled)
-    rows = _features(chosen, ["_id", "_label"], text, meta).collect()  # bounded by the sample
-    rows = sorted({r._id: r for r in rows}.values(), key=lambda r: zlib.crc32(str(r._id).encode()))
-    target = np.array([r._label for r in rows], float)
+    narrow = docs.select(
+        F.col(doc_id).alias("id"),
+        F.col(text).alias("text"),
+        *[F.col(c).alias(f"meta{i}") for i, c in enumerate(meta)],
+    )
+    inputs = "text", [f"meta{i}" for i in range(len(meta))]
+    wanted = stage(sampled_ids(docs, labels, doc_id, labelled), "sampled-ids")
+    chosen = _features(narrow.join(F.broadcast(wanted), "id"), ["id", "label"], *inputs)
+    # one row per id, the smallest of repeated ones; bounded by the sample
+    one = chosen.groupBy("id").agg(F.min(F.struct("text_f", "meta_f", "label")).alias("r"))
+    rows = [(r.id, *r.r) for r in one.collect()]
+    rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), str(r[0])))
+    target = np.array([r[3] for r in rows], float)
     held = np.arange(len(target)) % 10 < HELD_SHARE * 10
     if any(len(set(part.tolist())) < 2 for part in (target[held], target[~held])):
         return None
-    views = [[np.frombuffer(r[name], np.uint32) for r in rows] for name in ("text_f", "meta_f")]
+    views = [[np.frombuffer(r[i], np.uint32) for r in rows] for i in (1, 2)]
     bits = [TEXT_BITS, META_BITS]
-    free = stage(_features(unlabelled(docs, labels, doc_id), [], text, meta), "unlabelled-features")
+    others = narrow.join(F.broadcast(wanted.select("id")), "id", "left_anti")
+    free = stage(_features(others, [], *inputs), "pool-features")
     fitted = co_train(views, target, counted_in_spark(free, bits), bits, rounds)
     discard(free)
     return fitted
@@ -397,12 +398,13 @@ def score_quality(
     meta: tuple[str, ...] = ("source", "lang", "n_chars"),
     labelled: int = LABELLED,
     rounds: int = ROUNDS,
+    result: str = "quality",
 ) -> DataFrame:
-    """The columns ``keep`` of each row and a struct ``_quality`` (p_text, p_meta, score, accepted).
+    """The columns ``keep`` of each row and a struct ``result`` (p_text, p_meta, score, accepted).
 
     ``docs`` may be the table the labels speak of, or what is left of it. Training reads a bounded
-    sample of ``labelled`` documents and, in each round, the staged features of every document
-    without a label, repeated rows as often as they occur. Null texts have the features of empty
+    sample of ``labelled`` documents and, in each round, the staged features of every row outside
+    it, labelled or not, repeated rows as often as they occur. Null texts have the features of empty
     ones, null metadata is a value like others. Without labels of
     both kinds nothing can be learned: scores are null and all documents are accepted. Ties and
     repeated rows are judged alike, an empty table gives an empty one.
@@ -425,17 +427,19 @@ def score_quality(
 
         return one
 
-    schema = "_quality struct<p_text:double,p_meta:double,score:double,accepted:boolean>"
+    schema = f"`{result}` struct<p_text:double,p_meta:double,score:double,accepted:boolean>"
     return map_rows(docs, keep, [text, *meta], schema, start)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """One row per input row: ``doc_id``, ``p_text``, ``p_meta``, ``score``, ``accepted``."""
-    scored = score_quality(docs, labels, [doc_id], doc_id, **options)
-    return scored.select(F.col(doc_id).alias("doc_id"), "_quality.*")
+    (result,) = unused(docs, "quality")
+    scored = score_quality(docs, labels, [doc_id], doc_id, result=result, **options)
+    return scored.select(F.col(doc_id).alias("doc_id"), f"{result}.*")
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    scored = score_quality(docs, labels, docs.columns, **options)
-    return scored.filter(F.col("_quality.accepted")).drop("_quality")
+    (result,) = unused(docs, "quality")
+    scored = score_quality(docs, labels, docs.columns, result=result, **options)
+    return scored.filter(F.col(f"{result}.accepted")).select(*docs.columns)

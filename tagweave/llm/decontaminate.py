@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tagweave.llm.common import map_rows
+from tagweave.llm.common import SLICE_ROWS, discard, map_rows, unused
 from tagweave.session import stage
 
 # Fixed values of the contract.
@@ -172,8 +176,8 @@ class Automaton:
         return longest
 
 
-def item_shards(items: DataFrame, window: int, shard_words: int) -> list[bytes]:
-    """Pickled automata over about ``shard_words`` words each of ``items`` (item_id, text).
+def item_shards(items: DataFrame, window: int, shard_words: int) -> list[Broadcast]:
+    """Pickled automata, sent to the tasks, over about ``shard_words`` words each of ``items`` (item_id, text).
 
     The items are measured first and collected a shard at a time; an item longer than a shard is
     cut into pieces that overlap by a window less one word. Without items there is one empty one.
@@ -187,11 +191,12 @@ def item_shards(items: DataFrame, window: int, shard_words: int) -> list[bytes]:
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item_id", "words"), F.lit(shards)))
-    out = []
+    context, out = items.sparkSession.sparkContext, []
     for shard in range(shards):
         rows = dealt.filter(F.col("shard") == shard).select("item_id", "words").collect()
         ready = [(r.item_id, [bytes(w) for w in r.words]) for r in rows]
-        out.append(pickle.dumps(Automaton(ready, window)))
+        out.append(context.broadcast(pickle.dumps(Automaton(ready, window))))
+    discard(pieces)
     return out
 
 
@@ -206,7 +211,7 @@ def _char_spans(text: str | None, spans: list[tuple[int, int]]) -> list[dict]:
     if not spans:
         return []
     places = [m.span() for m in WORD.finditer(text)]
-    return [{"start": places[a][0], "end": places[b - 1][1]} for a, b in spans]
+    return [{"start": places[a][0], "end": places[b - 1][1], "words": b - a} for a, b in spans]
 
 
 def _union(a: list, b: list) -> list[tuple[int, int]]:
@@ -229,46 +234,64 @@ def match_rows(
     window: int = WINDOW,
     coverage: int = COVERAGE,
     shard_words: int = SHARD_WORDS,
+    result: str = "match",
 ) -> DataFrame:
-    """The columns ``keep`` of each row of ``docs`` and a struct ``_match`` with its matches."""
+    """The columns ``keep`` of each row of ``docs`` and a struct ``result`` with its matches.
+
+    Texts are read once. Where the benchmark needs several automata, a task goes through them with
+    the words of some rows at a time and holds one automaton.
+    """
     item_type = items.schema[item_id].dataType.simpleString()
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     shards = item_shards(items, window, shard_words)
-    state = f"_state struct<longest:int,hits:array<struct<a:int,b:int>>,items:array<{item_type}>>"
-    match = (
-        "_match struct<n_words:bigint,n_hit:bigint,longest:int,"
-        f"spans:array<struct<start:int,end:int>>,items:array<{item_type}>,contaminated:boolean>"
+    schema = (
+        f"`{result}` struct<n_words:bigint,n_hit:bigint,longest:int,"
+        f"spans:array<struct<start:int,end:int,words:int>>,items:array<{item_type}>,contaminated:boolean>"
     )
+    fields = StructType([*docs.select(*keep).schema.fields, *StructType.fromDDL(schema).fields])
     columns = list(dict.fromkeys([*keep, text]))
-    rows = docs.select(*columns)
-    for number, shard in enumerate(shards, 1):
-        sent = docs.sparkSession.sparkContext.broadcast(shard)
-        last = number == len(shards)
-
-        def start(sent=sent, last=last):
-            automaton = pickle.loads(sent.value)
-
-            def one(value, before=None):
-                words = words_of(value)
-                longest, hits, found = automaton.matches(words)
-                if before:
-                    hits = _union([(h["a"], h["b"]) for h in before["hits"]], hits)
-                    longest, found = max(longest, before["longest"]), {*found, *before["items"]}
-                result = {"longest": longest, "items": [*found]}
-                if not last:
-                    return (result | {"hits": [{"a": a, "b": b} for a, b in hits]},)
-                n_hit = sum(b - a for a, b in hits)
-                result |= {"n_words": len(words), "n_hit": n_hit, "spans": _char_spans(value, hits)}
-                return (result | {"contaminated": 0 < n_hit and len(words) <= coverage * n_hit},)
-
-            return one
-
-        inputs = [text] if number == 1 else [text, "_state"]
-        if last:
-            rows = map_rows(rows, keep, inputs, match, start)
-        else:
-            rows = stage(map_rows(rows, columns, inputs, state, start), "benchmark-pass")
-    return rows
+    kept, read = [columns.index(c) for c in keep], columns.index(text)
+    out_schema = to_arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = pickle.loads(shards[0].value) if len(shards) == 1 else None
+        rows = SLICE_ROWS if only else SLICE_ROWS * len(shards)
+        for batch in batches:
+            for first in range(0, batch.num_rows, rows):
+                part = batch.slice(first, rows)
+                texts = part.column(read).to_pylist()
+                words = [words_of(value) for value in texts]
+                found = [(0, [], set())] * len(texts)
+                for shard in shards:
+                    automaton = only or pickle.loads(shard.value)
+                    for i, of_row in enumerate(words):
+                        longest, hits, ids = automaton.matches(of_row)
+                        before = found[i]
+                        hits = _union(before[1], hits) if before[1] else hits
+                        found[i] = (max(longest, before[0]), hits, ids | before[2])
+                made = [
+                    _verdict(value, len(w), *f, coverage) for value, w, f in zip(texts, words, found, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept], pa.array(made, type=out_schema.field(len(kept)).type)],
+                    schema=out_schema,
+                )
+
+    return docs.select(*columns).mapInArrow(run, fields)
+
+
+def _verdict(
+    text: str | None, n_words: int, longest: int, hits: list[tuple[int, int]], items: set, coverage: int
+) -> dict:
+    n_hit = sum(b - a for a, b in hits)
+    return {
+        "n_words": n_words,
+        "n_hit": n_hit,
+        "longest": longest,
+        "spans": _char_spans(text, hits),
+        "items": [*items],
+        "contaminated": 0 < n_hit and n_words <= coverage * n_hit,
+    }
 
 
 def match_benchmark(
@@ -277,28 +300,46 @@ def match_benchmark(
     """One row per input row: ``doc_id``, ``n_words``, ``n_hit``, ``longest``, ``spans``, ``items``,
     ``contaminated``.
 
-    ``spans`` are the hit stretches in code points, ``longest`` the longest match in words. An
+    ``spans`` are the hit stretches in code points, with their number of words, and ``longest`` the
+    longest match in words. An
     item of fewer words than ``window`` is one window. A document is contaminated if it has hits
     that make up 1/``coverage`` of its words or more.
 
-    Documents are not shuffled. An automaton of bounded size is sent to the tasks; a benchmark of
-    more words takes several, each applied to the staged result of the one before. Null and empty
+    Documents are not shuffled or copied. Automata of bounded size are sent to the tasks, several
+    for a benchmark of many words. Null and empty
     texts have no words and are clean, repeated rows give repeated results, empty tables give
     empty results or no hits, items without words never match, other columns are not read.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return match_rows(docs, items, ["doc_id"], **options).select("doc_id", "_match.*")
+    return match_rows(docs, items, ["doc_id"], **options).select("doc_id", "match.*")
 
 
 def remove_contaminated(
-    docs: DataFrame, items: DataFrame, text: str = "text", **options
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    n_chars: str = "n_chars",
+    window: int = WINDOW,
+    **options,
 ) -> DataFrame:
-    """``docs`` without the contaminated documents; all others stay as they are.
+    """``docs`` without what the benchmark gave away.
 
-    Each row is judged where it is by its own text, so nothing is joined back by doc_id.
+    Documents over the coverage limit (``contaminated``) go as a whole. From others the spans of
+    ``window`` words and more are cut out, and a column ``n_chars`` is brought up to date; short
+    items that occur in them are no reason to cut. All other documents stay as they are. Each row
+    is judged where it is by its own text, so nothing is joined back by doc_id.
     """
-    found = match_rows(docs, items, docs.columns, text, **options)
-    return found.filter(~F.col("_match.contaminated")).drop("_match")
+    (result,) = unused(docs, "match")
+    found = match_rows(docs, items, docs.columns, text, window=window, result=result, **options)
+    kept = found.filter(~F.col(f"{result}.contaminated"))
+    long = F.filter(f"{result}.spans", lambda s: s["words"] >= window)
+    changes = F.size(long) > 0
+    shorter = cut_spans(F.col(text), long)
+    out = kept.withColumn(text, F.when(changes, shorter).otherwise(F.col(text)))
+    if n_chars in docs.columns:
+        length = F.char_length(text).cast(docs.schema[n_chars].dataType)
+        out = out.withColumn(n_chars, F.when(changes, length).otherwise(F.col(n_chars)))
+    return out.select(*docs.columns)
 
 
 def cut_spans(text: Column, spans: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.lists import let
+from tagweave.llm.common import unused
 
 SEED = 42
 # Largest mean that is inverted from P(X <= 0) on; larger ones from a table around the mode.
@@ -109,14 +110,15 @@ def copies(rates: dict[str | None, float], source: Column, key: Column, seed: in
 
 def exploded(counted: DataFrame) -> DataFrame:
     """Rows with ``copy`` n as n rows with ``copy`` 0 to n - 1, listed in blocks."""
-    last = F.col("_copies") - 1
-    start = F.col("_block") * COPY_BLOCK
+    copies, block = unused(counted, "copies", "block")
+    last = F.col(copies) - 1
+    start = F.col(block) * COPY_BLOCK
     blocks = F.sequence(F.lit(0), F.floor(last / F.lit(COPY_BLOCK)).cast("int"))
     return (
-        counted.withColumnRenamed("copy", "_copies")
-        .withColumn("_block", F.explode(blocks))
+        counted.withColumnRenamed("copy", copies)
+        .withColumn(block, F.explode(blocks))
         .withColumn("copy", F.explode(F.sequence(start, F.least(start + (COPY_BLOCK - 1), last))))
-        .drop("_copies", "_block")
+        .drop(copies, block)
     )
 
 

@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -30,7 +32,7 @@ END_ID = 2  # follows the ids of every document
 FILE_BYTES = 1 << 28  # a task begins a new file after this many
 READ_BYTES = 1 << 26  # what a reading task gets of them, about
 BLOCK_BYTES = 512  # folded together for the sums
-MEMO = 1 << 18  # pieces whose ids a task remembers
+MEMO = 1 << 20  # pieces whose ids a Python worker remembers
 
 # Fixed values of the format.
 POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
@@ -166,6 +168,24 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Pieces(dict):
+    """Token ids of pieces of text, worked out when they are first asked for."""
+
+    def __init__(self, model, code: str):
+        super().__init__()
+        self.model, self.code, self.letters = model, code, byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MEMO:
+            self.clear()
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        ids = array(self.code, [token.id for token in self.model.tokenize(mapped)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        self[piece] = found = ids.tobytes()
+        return found
+
+
 @cache
 def _loaded(path: str):
     """The tokenizer of a file, and the pieces that this Python worker knows the ids of."""
@@ -173,8 +193,8 @@ def _loaded(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    kind = np.dtype("<u2") if tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-    return tokenizer, tokenizer.model, special, kind, byte_letters(), {}
+    code = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
+    return tokenizer, special, _Pieces(tokenizer.model, code), np.dtype(f"<{code}")
 
 
 def byte_bpe_encoder(path: str) -> Callable[[], tuple[Callable[[str], bytes], int]]:
@@ -187,19 +207,12 @@ def byte_bpe_encoder(path: str) -> Callable[[], tuple[Callable[[str], bytes], in
     """
 
     def start():
-        tokenizer, model, special, kind, letters, known = _loaded(path)
-
-        def ids_of(piece: str) -> bytes:
-            if len(known) >= MEMO:
-                known.clear()
-            mapped = piece.encode().decode("latin-1").translate(letters)
-            known[piece] = ids = np.array([t.id for t in model.tokenize(mapped)], kind).tobytes()
-            return ids
+        tokenizer, special, pieces, kind = _loaded(path)
 
         def encode(text: str) -> bytes:
             if _OTHER_CHARACTERS.search(text) or any(s in text for s in special):
                 return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
-            return b"".join([known.get(p) or ids_of(p) for p in _PIECE.findall(text)])
+            return b"".join(map(pieces.__getitem__, _PIECE.findall(text)))
 
         return encode, kind.itemsize
 

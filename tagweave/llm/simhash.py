@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tagweave.llm.common import map_rows
+from tagweave.llm.common import map_rows, unused
 from tagweave.session import stage
 
 BITS = 64
@@ -269,6 +269,18 @@ def component_roots(edges: DataFrame) -> DataFrame:
     return roots
 
 
+def _rooted(own: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, first, root) of the distinct fingerprints of ``own`` (doc_id, fp; staged)."""
+    fps = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    if max_distance == 0:
+        return fps.withColumn("root", F.col("fp"))
+    roots = component_roots(links(fps.select("fp"), max_distance))
+    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    return stage(rooted, "rooted")
+
+
 def simhash_components(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -285,17 +297,9 @@ def simhash_components(
     table gives an empty one; other columns are not read.
     """
     own = stage(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    fps = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    if max_distance > 0:
-        roots = component_roots(links(fps.select("fp"), max_distance))
-        rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", "first", F.coalesce("root", "fp").alias("root")
-        )
-        rooted = stage(rooted, "rooted")
-        smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-        named = stage(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    else:
-        named = fps.withColumnRenamed("first", "component_id")
+    rooted = _rooted(own, max_distance)
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = stage(rooted.join(smallest, "root").select("fp", "component_id"), "named")
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -304,20 +308,40 @@ def simhash_digest(components: DataFrame) -> DataFrame:
     return components.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest doc_id.
+def keep_one_each(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest doc_id.
 
-    A doc_id that occurs several times stays once (its smallest row); rows without a doc_id stay.
+    Rows are told apart by doc_id and fingerprint: unrelated texts that share a doc_id stay, and so
+    does one row of a component without any doc_id. Of several rows with the same doc_id and
+    fingerprint the smallest stays.
     """
-    found = stage(simhash_components(docs, doc_id, text), "components")
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(
-        (F.count(F.lit(1)) > 1).alias("repeated")
-    )
-    once = kept.filter(~F.col("repeated")).select(F.col("doc_id").alias(doc_id))
-    out = docs.join(once, doc_id, "left_semi").unionByName(docs.filter(F.col(doc_id).isNull()))
-    several = kept.filter("repeated").select(F.col("doc_id").alias(doc_id))
+    own = stage(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    rows = own.join(_rooted(own, max_distance).select("fp", "root"), "fp")
+    # the smallest id, the one fingerprint of it; missing ids come last
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp"))
+    chosen = stage(rows.groupBy("root").agg(first.alias("c")).select("c.doc_id", "c.fp"), "chosen")
+    times = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+    counted = stage(chosen.filter("doc_id IS NOT NULL").join(times, "doc_id"), "counted")
+    once = counted.filter("times = 1").select(F.col("doc_id").alias(doc_id))
+    out = docs.join(once, doc_id, "left_semi")
+    # ids of several rows, or none: by fingerprint, too
+    several = counted.filter("times > 1").select("doc_id", "fp")
+    several = stage(several.unionByName(chosen.filter("doc_id IS NULL")), "several")
     if not several.isEmpty():
-        rows = docs.join(several, doc_id, "left_semi").groupBy(doc_id)
-        smallest = rows.agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-        out = out.unionByName(smallest)
+        ids = several.select(F.col("doc_id").alias("own_id")).distinct()
+        unclear = docs.join(ids, F.col(doc_id).eqNullSafe(F.col("own_id")), "left_semi")
+        row, fp = unused(docs, "row", "fp")
+        packed = unclear.select(F.struct(*docs.columns).alias(row), F.col(doc_id).alias(doc_id), F.col(text).alias(text))
+        printed = map_rows(
+            packed, [row, doc_id], [text], f"{fp} bigint", lambda: lambda t: (fingerprint(t, shingle),)
+        )
+        same = printed[doc_id].eqNullSafe(several["doc_id"]) & (printed[fp] == several["fp"])
+        found = printed.join(several, same, "left_semi").groupBy(doc_id, fp)
+        out = out.unionByName(found.agg(F.min(row).alias(row)).select(f"{row}.*"))
     return out.select(*docs.columns)

@@ -124,3 +124,19 @@ def test_no_python_in_the_plan(spark, sf_dir):
 @pytest.mark.parametrize("schema", ["record_id int, record string"])
 def test_empty_table(spark, schema):
     assert format_chat(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_lists_of_unlike_elements_are_no_known_layout(spark):
+    """What a mapping would lose is reported as unknown and never as empty turns."""
+    records = {
+        1: '{"messages":["secret text","b"]}',
+        2: '{"messages":[{"role":"user","content":"hi"},"loose"]}',
+        3: '{"messages":[{"role":"user","content":{"parts":["a"]}},{"role":"user","content":"b"}]}',
+        4: '{"conversations":[1,2]}',
+        5: '{"messages":[]}',
+        6: '{"prompt":{"a":"b"},"response":"c"}',
+    }
+    rows = format_chat(spark.createDataFrame(list(records.items()), "record_id int, record string")).collect()
+    assert {r.record_id: (r.layout, r.formatted) for r in rows} == {
+        i: ("messages", "") if i == 5 else (None, None) for i in records
+    }

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from tagweave.llm import cotrain
 from tagweave.llm.cotrain import (
     Linear,
     calibrate,
@@ -100,6 +101,30 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert kept.columns == docs.columns and kept.filter("doc_id = 902").count() == 2
 
 
+def test_every_row_is_in_the_sample_or_in_the_pool(spark, monkeypatch):
+    """Also documents whose label has no quality, labelled ones beyond the sample, and rows
+    without an id; a sampled id on many rows is one training document."""
+    seen = {}
+
+    def spy(pool, bits):
+        seen["pool"] = pool.count()
+        return lambda history: [(np.array([], int), np.array([]), np.array([]), 0, 0)] * 2
+
+    def train_on(views, target, pool, bits, rounds):
+        seen["sample"] = len(target)
+        return None
+
+    monkeypatch.setattr(cotrain, "counted_in_spark", spy)
+    monkeypatch.setattr(cotrain, "co_train", train_on)
+    rows = [(i, f"text {i}", "s") for i in range(100)] + [(3, f"more {i}", "s") for i in range(50)] + [(None, "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2, 0) for i in range(80)], "doc_id bigint, quality int, toxic int")
+    cotrain.fit_quality(docs, labels, "doc_id", "text", ["source"], 1000, 1)
+    assert seen == {"sample": 64, "pool": 100 - 64 + 1}  # the 50 further rows of id 3 belong to the sample
+    cotrain.fit_quality(docs, labels, "doc_id", "text", ["source"], 20, 1)
+    assert seen["sample"] == 20 and seen["pool"] >= 100 - 20 + 1
+
+
 @pytest.mark.parametrize("rows", [[], [(i, 1, 0) for i in range(50)]])
 def test_without_both_kinds_of_labels_all_stay(spark, rows):
     labels = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")

@@ -90,11 +90,32 @@ def test_verdicts_spans_and_shards(spark):
         assert sorted(parts.collect(), key=str) == sorted(contamination_digest(once).collect(), key=str)
     kept = remove_contaminated(docs, items)
     assert kept.columns == docs.columns
+    texts = {r.doc_id: r.text for r in kept.collect()}
+    assert texts[2] == "x " * 5000 and texts[3] is None and texts[5] == "two three four"
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5]
     cut = docs.join(once.select("doc_id", "spans"), "doc_id").filter("doc_id = 1")
     assert cut.select(cut_spans(F.col("text"), F.col("spans"))).first()[0] == "x " * 30
 
 
+def test_spans_over_the_length_limit_are_cut_and_short_items_are_not(spark):
+    filler = "plain words " * 400
+    rows = [(1, filler + ITEM + " " + filler + "Short-item " + ITEM.upper() + " tail", 9), (2, "short item " + filler, 9)]
+    docs = spark.createDataFrame([(*r, "m") for r in rows], "doc_id bigint, text string, n_chars int, match string")
+    items = spark.createDataFrame([(1, ITEM), (2, "short item")], "item_id bigint, text string")
+    for few in (5, 100_000):
+        kept = {r.doc_id: r for r in remove_contaminated(docs, items, shard_words=few).collect()}
+        assert kept[1].text == filler + " " + filler + " tail"
+        assert kept[1].n_chars == len(kept[1].text) and kept[1].match == "m"
+        assert (kept[2].text, kept[2].n_chars) == (rows[1][1], 9)
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "so it goes " * 500_000 + ITEM)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    row = match_benchmark(docs, items).first()
+    assert (row.n_words, row.n_hit, row.contaminated) == (1_500_014, 14, False)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     items = spark.createDataFrame([], "item_id bigint, text string")

@@ -125,7 +125,20 @@ def test_components_of_copies_nulls_and_repeats(spark):
     assert zero == {"0" * 16}
     kept = keep_one_each(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 2, 3, 7, 8]
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [2, 3, 7, 8]
+
+
+def test_one_row_of_each_component_whatever_its_id(spark):
+    """Two unrelated texts of one id stay both, of rows without an id one per component."""
+    other = "nothing in common with that at all here"
+    rows = [(1, DOCS[0][1]), (1, other), (None, "a third text of its own"), (None, "a third text of its own"),
+            (4, DOCS[0][1]), (5, other), (None, other)]
+    docs = spark.createDataFrame([(i, t, 0, "z") for i, t in rows], "doc_id bigint, text string, fp int, row string")
+    kept = keep_one_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or -1), r.text) for r in kept.collect()) == sorted(
+        [(1, DOCS[0][1]), (1, other), (-1, "a third text of its own")]
+    )
 
 
 def test_empty_table(spark):
