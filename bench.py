@@ -24,6 +24,7 @@ BUILDS = {
     "build_search_entries": star.entries,
     "build_gram_postings": star.postings,
     "build_gram_counts": star.posting_counts,
+    "build_gram_heads": star.heads,
     "build_document_items": star.document_items,
     "build_document_index": star.document_index,
 }

@@ -253,7 +253,8 @@ def search_index(spark, sf):
 
 
 def autocomplete_one(spark, sf):
-    return search.suggest(star.entries(spark, sf), "Wi", 10)
+    stored = star.postings(spark, sf), star.posting_counts(spark, sf), star.heads(spark, sf)
+    return search.suggest(star.entries(spark, sf), "Wi", 10, *stored)
 
 
 def autocomplete_batch(spark, sf):
@@ -262,6 +263,7 @@ def autocomplete_batch(spark, sf):
         star.search_queries(spark, sf),
         star.postings(spark, sf),
         star.posting_counts(spark, sf),
+        star.heads(spark, sf),
     )
 
 
@@ -311,16 +313,18 @@ def source_feed(spark, sf):
     records = star.external_feed(spark, sf).withColumns(
         {"playcount": F.col("playcount").cast("double"), "listeners": F.col("listeners").cast("bigint")}
     )
-    record = F.to_json(F.struct(*EXTERNAL_RECORD.names))
+    record = F.struct("record_seq", F.to_json(F.struct(*EXTERNAL_RECORD.names)).alias("json"))
+    part = F.lpad(F.pmod("record_seq", F.lit(16)).cast("string"), 2, "0")
     arrays = (
-        records.groupBy("source_rank", F.pmod(F.xxhash64("record_seq"), F.lit(16)).alias("part"))
-        .agg(F.collect_list(record).alias("r"))
+        records.groupBy("source_rank", part.alias("part"))
+        .agg(F.sort_array(F.collect_list(record))["json"].alias("r"))
         .select("source_rank", "part", F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")))
     )
     arrays.write.partitionBy("source_rank", "part").text(path)
     paths = [f"{path}/source_rank={rank}" for rank in (0, 1, 2)]  # the last one does not exist
     return feed.read_external_feed(spark, paths).select(
         "source_rank",
+        "record_seq",
         "artist_name",
         "release_name",
         F.size("tags").alias("n_tags"),

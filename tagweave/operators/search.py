@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,16 +104,49 @@ def gram_counts(postings: DataFrame) -> DataFrame:
     return postings.groupBy("form", "gram").agg(F.count(F.lit(1)).alias("df"))
 
 
+def gram_heads(index: DataFrame, postings: DataFrame) -> DataFrame:
+    """(form, gram, head): the first entries of each gram in the order of suggestions, as many as
+    a request can ask for.
+
+    A needle of up to three characters is itself a gram, so its head is its answer. Each task
+    keeps only its own first entries of a gram before anything is shuffled.
+    """
+    shown = index.select(F.col("min_position").alias("entry"), *_STATIC_ORDER, "position", "display")
+    order = Window.partitionBy("form", "gram").orderBy(*_static_order())
+    first = (
+        postings.join(shown, "entry")
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= SUGGEST_MAX)
+    )
+    row = F.struct("rank", "entry", *_STATIC_ORDER, "position", "display")
+    return first.groupBy("form", "gram").agg(F.sort_array(F.collect_list(row)).alias("head"))
+
+
+def by_gram(table: DataFrame) -> DataFrame:
+    """Postings, counts or heads in the order of their grams, to be written like that: a lookup
+    then reads the few row groups whose range holds its gram."""
+    return table.repartitionByRange("gram", "form").sortWithinPartitions("gram", "form")
+
+
+def _short(needle: Column) -> Column:
+    return F.length(needle) <= GRAM
+
+
 def _matches(
-    index: DataFrame, postings: DataFrame, frequency: DataFrame, texts: DataFrame
+    index: DataFrame,
+    postings: DataFrame,
+    frequency: DataFrame,
+    heads: DataFrame | None,
+    texts: DataFrame,
 ) -> DataFrame:
-    """Entries per distinct non-empty (q, nq): raw blob contains q, or normalized blob nq.
+    """Entries per distinct non-empty (q, nq): raw blob contains q, or normalized blob nq. Of the
+    entries of a short needle only the head.
 
-    A containment test is no equi-join, and testing all pairs grows with both sides. Every
-    needle is looked up under its rarest gram instead and the few candidates are verified.
-    A pair that matches in both forms is kept by the raw one alone.
+    A containment test is no equi-join, and testing all pairs grows with both sides. A short
+    needle is answered by the head of its gram; a longer one is looked up under its rarest gram,
+    and the few candidates are verified.
     """
-    needles = texts.select(
+    every = texts.select(
         "q",
         F.inline(
             F.filter(
@@ -123,6 +158,17 @@ def _matches(
             )
         ),
     )
+    short = every.filter(_short(F.col("needle")))
+    if heads is None:
+        asked = short.select("form", F.col("needle").alias("gram")).distinct()
+        heads = gram_heads(index, postings.join(asked, ["form", "gram"], "left_semi"))
+    # many queries may differ in keywords only and share a needle
+    by_head = (
+        spread_join(short, heads.withColumnRenamed("gram", "needle"), ["form", "needle"], spread_by="q")
+        .select("q", F.inline("head"))
+        .select("q", "entry", *_STATIC_ORDER)
+    )
+    needles = every.filter(~_short(F.col("needle")))
     rarest = (
         needles.select("form", "needle")
         .distinct()
@@ -133,7 +179,6 @@ def _matches(
         .select("form", "needle", F.col("rarest.gram").alias("gram"))
     )
     candidates = (
-        # many queries may differ in keywords only and share a needle
         spread_join(needles, rarest, ["form", "needle"], spread_by="q")
         .join(postings, ["form", "gram"])
         .select("q", "form", "needle", "entry")
@@ -144,10 +189,12 @@ def _matches(
         "normalized_search_blob",
         *_STATIC_ORDER,
     )
-    in_raw = F.contains("raw_search_blob", "q")
-    by_raw = (F.col("form") == "raw") & in_raw
-    by_norm = (F.col("form") == "norm") & ~in_raw & F.contains("normalized_search_blob", "needle")
-    return candidates.join(blobs, "entry").filter(by_raw | by_norm).select("q", "entry", *_STATIC_ORDER)
+    blob = F.when(F.col("form") == "raw", F.col("raw_search_blob")).otherwise(
+        F.col("normalized_search_blob")
+    )
+    verified = candidates.join(blobs, "entry").filter(F.contains(blob, F.col("needle")))
+    found = by_head.unionByName(verified.select("q", "entry", *_STATIC_ORDER))
+    return found.dropDuplicates(["q", "entry"])
 
 
 def _static_order() -> list[Column]:
@@ -164,11 +211,13 @@ def autocomplete(
     queries: DataFrame,
     postings: DataFrame | None = None,
     counts: DataFrame | None = None,
+    heads: DataFrame | None = None,
 ) -> DataFrame:
     """Suggestions for a table of (request_id, query, limit).
 
-    ``postings`` is ``gram_postings(index)`` and ``counts`` is ``gram_counts(postings)``, both
-    best stored next to the index; otherwise they are worked out on every call.
+    ``postings`` is ``gram_postings(index)``, ``counts`` is ``gram_counts(postings)`` and ``heads``
+    is ``gram_heads(index, postings)``, all best stored next to the index; otherwise they are
+    worked out on every call.
 
     Equal normalized queries are answered once, up to the largest legal limit, and joined back
     to their requests, so a query that a third of all requests send costs as much as a rare one.
@@ -184,7 +233,7 @@ def autocomplete(
     order = Window.partitionBy("q").orderBy(*_static_order())
     postings = gram_postings(index) if postings is None else postings
     answers = (
-        _matches(index, postings, gram_counts(postings) if counts is None else counts, texts)
+        _matches(index, postings, gram_counts(postings) if counts is None else counts, heads, texts)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SUGGEST_MAX)
         .select("q", "rank", "entry")
@@ -221,8 +270,34 @@ def autocomplete(
     )
 
 
-def suggest(index: DataFrame, query: str, limit: int | str | None = None) -> DataFrame:
-    """Suggestions for one query: the index is filtered in place and only its head is sorted out."""
+def _candidates(
+    form: str, needle: str, postings: DataFrame, counts: DataFrame, index: DataFrame
+) -> DataFrame:
+    """Entries whose blob contains a longer needle: postings of its rarest gram, verified."""
+    grams = {needle[i : i + GRAM] for i in range(len(needle) - GRAM + 1)}
+    known = counts.filter((F.col("form") == form) & F.col("gram").isin(*grams)).collect()  # one per gram
+    rarest = min(known, key=lambda r: (r.df, r.gram)).gram if len(known) == len(grams) else None
+    holds = postings.filter((F.col("form") == form) & (F.col("gram") == F.lit(rarest)))
+    blob = "raw_search_blob" if form == "raw" else "normalized_search_blob"
+    verified = index.filter(F.contains(blob, F.lit(needle)))
+    return verified.join(holds, F.col("min_position") == F.col("entry"), "left_semi")
+
+
+def suggest(
+    index: DataFrame,
+    query: str,
+    limit: int | str | None = None,
+    postings: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    heads: DataFrame | None = None,
+) -> DataFrame:
+    """Suggestions for one query.
+
+    With the stored ``postings``, ``counts`` and ``heads`` of the index a query of up to three
+    characters is a lookup of one gram, and a longer one joins the postings of its rarest gram.
+    Without them, and for the empty text, which every entry contains, the index is filtered in
+    place. Only the head is sorted out.
+    """
     text = F.lit(query)
     parsed = index.sparkSession.range(1).select(
         norm(text).alias("q"),
@@ -231,11 +306,28 @@ def suggest(index: DataFrame, query: str, limit: int | str | None = None) -> Dat
         query_long_enough(text).alias("ok"),
     )
     one = parsed.first()
-    hit = F.contains("raw_search_blob", F.lit(one.q))
-    if one.nq:
-        hit = hit | F.contains("normalized_search_blob", F.lit(one.nq))
+    columns = [*_STATIC_ORDER, "position", "display"]
+    stored = postings is not None and counts is not None and heads is not None
+    if stored and one.q:
+        parts = []
+        for form, needle in dict(raw=one.q, norm=one.nq).items():
+            if not needle:
+                continue
+            if len(needle) <= GRAM:
+                head = heads.filter((F.col("form") == form) & (F.col("gram") == F.lit(needle)))
+                part = head.select(F.inline("head"))
+            else:
+                part = _candidates(form, needle, postings, counts, index)
+            parts.append(part.select(*columns))
+        found = reduce(DataFrame.unionByName, parts)
+        found = found.dropDuplicates(["min_position"]) if len(parts) > 1 else found
+    else:
+        hit = F.contains("raw_search_blob", F.lit(one.q))
+        if one.nq:
+            hit = hit | F.contains("normalized_search_blob", F.lit(one.nq))
+        found = index.filter(hit).select(*columns)
     return (
-        index.filter(hit & F.lit(one.ok))
+        found.filter(F.lit(one.ok))
         .orderBy(*_static_order())
         .limit(one.n)
         .select(

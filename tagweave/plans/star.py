@@ -13,7 +13,13 @@ from tagweave.functions.lists import no_strings
 from tagweave.functions.text import WHITE_SPACE_RUN, cache_key
 from tagweave.operators.crawl import apply_crawl_cache, clean_crawl
 from tagweave.operators.features import build_items, conform
-from tagweave.operators.search import gram_counts, gram_postings, search_index
+from tagweave.operators.search import (
+    by_gram,
+    gram_counts,
+    gram_heads,
+    gram_postings,
+    search_index,
+)
 from tagweave.operators.tags import tag_index
 from tagweave.schemas import SIMILAR
 from tagweave.session import stage_once, tune
@@ -164,14 +170,24 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gram postings of the search entries."""
     return stage_once(
-        spark, "postings", sf_dir, lambda: gram_postings(entries(spark, sf_dir))
+        spark, "postings", sf_dir, lambda: by_gram(gram_postings(entries(spark, sf_dir)))
     )
 
 
 def posting_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of postings per gram."""
     return stage_once(
-        spark, "posting_counts", sf_dir, lambda: gram_counts(postings(spark, sf_dir))
+        spark, "posting_counts", sf_dir, lambda: by_gram(gram_counts(postings(spark, sf_dir)))
+    )
+
+
+def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First entries per gram."""
+    return stage_once(
+        spark,
+        "heads",
+        sf_dir,
+        lambda: by_gram(gram_heads(entries(spark, sf_dir), postings(spark, sf_dir))),
     )
 
 

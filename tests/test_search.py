@@ -2,7 +2,16 @@ import random
 
 from tagweave.operators import display, lookup
 from tagweave.operators.recommend import recommend
-from tagweave.operators.search import autocomplete, search_index, suggest
+from tagweave.operators.search import (
+    autocomplete,
+    by_gram,
+    gram_counts,
+    gram_heads,
+    gram_postings,
+    search_index,
+    suggest,
+)
+from tagweave.session import stage
 from tests.helpers import catalogue, scoring_index
 
 RADIO = [
@@ -81,6 +90,44 @@ def test_batch_equals_scan(spark):
         assert [d for _, d in sorted(got.get(i, []))] == expected, (query, limit)
 
 
+def test_stored_postings_and_heads_equal_scan(spark):
+    """Lookups of one gram or of the rarest one, for needles of every length, against the scan."""
+    rng = random.Random(3)
+    words = ["ab", "abc", "b", "red", "blue ring", "é", "deluxe", "x(y", "clean cut"]
+    rows = [
+        (p, rng.choice(words), " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4))), [], [], [], 1.0, 1)
+        for p in range(1, 160)
+    ]
+    index = stage(_entries(spark, rows), "entries")
+    postings = stage(by_gram(gram_postings(index)), "postings")
+    stored = (
+        postings,
+        stage(by_gram(gram_counts(postings)), "counts"),
+        stage(by_gram(gram_heads(index, postings)), "heads"),
+    )
+    assert stored[2].selectExpr("max(size(head))").first()[0] == 50
+    for query in ["ab", "abc deluxe", "b deluxe", "  ", "é ", "blue ring b", "zzz", "zzzz", "x(", "a", "clean cut re"]:
+        found = [r.display for r in suggest(index, query, 50, *stored).collect()]
+        assert found == _texts(spark, index, query, 50), query
+    queries = spark.createDataFrame([(i, q) for i, q in enumerate(["ab", "red b", "x(", "blue ring"])], "request_id bigint, query string")
+    asked = queries.selectExpr("*", "'50' AS limit")
+    got = {}
+    for r in autocomplete(index, asked, *stored).collect():
+        got.setdefault(r.request_id, []).append((r["rank"], r.display))
+    for r in queries.collect():
+        assert [d for _, d in sorted(got[r.request_id])] == _texts(spark, index, r.query, 50)
+
+
+def test_one_keystroke_reads_its_gram_only(spark):
+    index = stage(_entries(spark, RADIO), "entries")
+    postings = stage(by_gram(gram_postings(index)), "postings")
+    counts, heads = (stage(by_gram(t), "x") for t in (gram_counts(postings), gram_heads(index, postings)))
+    plan = suggest(index, "ok", 10, postings, counts, heads)._jdf.queryExecution().toString()
+    assert "EqualTo(gram,ok)" in plan and "search_blob" not in plan.split("== Physical Plan ==")[1]
+    plan = suggest(index, "computer", 10, postings, counts, heads)._jdf.queryExecution().toString()
+    assert "EqualTo(gram," in plan
+
+
 def test_variant_counts_add_up(spark):
     rows = [(p, f"a{p % 3}", f"t{p % 5}", [], [], [], 1.0, 1) for p in range(1, 50)]
     index = _entries(spark, rows)
