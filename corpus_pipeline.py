@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark, as they are."""
+    """Documents that are not contaminated by the benchmark, without long stretches of its items."""
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
