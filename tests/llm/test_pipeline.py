@@ -5,13 +5,37 @@ from collections import Counter
 import corpus_pipeline
 from tagweave.llm.common import table
 from tagweave.llm.cotrain import quality_scores
-from tagweave.llm.decontaminate import words_of
+from tagweave.llm.decontaminate import WORD, words_of
 from tagweave.llm.simhash import fingerprint
 from tagweave.session import stage
 
 FOLDER = "/root/testdata/sf0.01"
 
 
+def without_stretches(text, windows, sizes):
+    """``text`` without its stretches of 13 hit words and more."""
+    words, places = words_of(text), [m.span() for m in WORD.finditer(text)]
+    hit = sorted(
+        {
+            i + k
+            for size in sizes
+            for i in range(len(words) - size + 1)
+            if tuple(words[i : i + size]) in windows
+            for k in range(size)
+        }
+    )
+    stretches = []
+    for i in hit:
+        if stretches and stretches[-1][1] == i:
+            stretches[-1][1] = i + 1
+        else:
+            stretches.append([i, i + 1])
+    for a, b in reversed(stretches):
+        if b - a >= 13:
+            text = text[: places[a][0]] + text[places[b - 1][1] :]
+    return text
+
+
 def test_stages(spark):
     kept, docs = {}, table(spark, FOLDER, "documents")
     kept["start"], columns = docs.collect(), docs.columns
@@ -67,6 +91,11 @@ def test_stages(spark):
         if not hit or 20 * len(hit) < len(words):
             clean.add(r.doc_id)
     assert {r.doc_id for r in kept["decontamination"]} == clean
+    cut = {r.doc_id: (r.text, r.n_chars) for r in kept["decontamination"]}
+    for r in kept["near_dedup"]:
+        if r.doc_id in clean:
+            want = without_stretches(r.text, windows, sizes)
+            assert cut[r.doc_id] == (want, len(want) if want != r.text else r.n_chars)
 
     assert {r.doc_id for r in kept["mixing"]} <= clean
     run = corpus_pipeline.run(spark, FOLDER)
