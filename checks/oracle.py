@@ -476,6 +476,12 @@ def statements() -> dict[str, str]:
                      FROM appended_features GROUP BY position"""
     }
     long = "SELECT position, feature, CAST(weight AS REAL) AS weight FROM"
+    similar = _with(
+        ["edges"],
+        """SELECT position, CAST(row_number() OVER (PARTITION BY position ORDER BY i)
+                                 AS INTEGER) AS rank, artist, title
+           FROM edges""",
+    )
     flat_items = _with(
         ["items", "item_features"],
         f"""SELECT i.position, artist_name, release_name, release_type,
@@ -502,15 +508,25 @@ def statements() -> dict[str, str]:
     return {
         "source_csv": _with(["raw"], "SELECT * FROM raw"),
         "source_feed": """
-            SELECT 0 AS source_rank, upper(p_brand) AS artist_name, p_name AS release_name,
-                   1 AS n_tags, CAST(p_size AS VARCHAR) AS playcount,
-                   CAST(NULL AS VARCHAR) AS listeners FROM part
-            UNION ALL
-            SELECT 1, lang, 'doc ' || (doc_id // 2), len(string_split(text, ' ')), NULL,
-                   CAST(n_chars AS VARCHAR) FROM documents""",
+            WITH records AS (
+              SELECT 0 AS source_rank, p_partkey AS seq, upper(p_brand) AS artist_name,
+                     p_name AS release_name, 1 AS n_tags, CAST(p_size AS VARCHAR) AS playcount,
+                     CAST(NULL AS VARCHAR) AS listeners FROM part
+              UNION ALL
+              SELECT 1, doc_id, lang, 'doc ' || (doc_id // 2), len(string_split(text, ' ')), NULL,
+                     CAST(n_chars AS VARCHAR) FROM documents)
+            SELECT * EXCLUDE (seq),
+                   row_number() OVER (PARTITION BY source_rank ORDER BY seq % 16, seq) - 1 AS record_seq
+            FROM records""",
         "source_cache": upserted,
         "source_processed": flat_items,
         "source_json_lines": flat_items,
+        "source_counts": _with(
+            ["items", "item_features"],
+            """SELECT 'items' AS name, count(*) AS n_rows FROM items
+               UNION ALL SELECT 'vocabulary', count(DISTINCT feature) FROM item_features""",
+        ),
+        "source_similar": similar,
         "parse_lists": _with(
             ["raw"],
             "SELECT position, "
@@ -614,12 +630,7 @@ def statements() -> dict[str, str]:
                 FROM enriched e LEFT JOIN (SELECT position, count(*) AS n FROM edges
                                            GROUP BY position) s USING (position)""",
         ),
-        "similar_edges": _with(
-            ["edges"],
-            """SELECT position, CAST(row_number() OVER (PARTITION BY position ORDER BY i)
-                                     AS INTEGER) AS rank, artist, title
-               FROM edges""",
-        ),
+        "similar_edges": similar,
         "tag_weights": _with(["weights"], "SELECT position, tag, w FROM weights"),
         "tag_counts": _with(["counts"], "SELECT position, tag_count FROM counts"),
         "recommend_one": _with(

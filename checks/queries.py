@@ -353,6 +353,19 @@ def source_processed(spark, sf):
     return _flat_items(catalogue.read_processed(spark, path)[0])
 
 
+def source_counts(spark, sf):
+    """The counts that writing the processed tables observes in passing."""
+    found = catalogue.write_processed(star.items(spark, sf), _folder(spark))
+    return spark.createDataFrame(list(found.items()), "name string, n_rows bigint")
+
+
+def source_similar(spark, sf):
+    """Similar-item lists, written and read back."""
+    path = _folder(spark)
+    crawl_cache.write_similar(crawl.similar_edges(star.enrichment(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
 def source_json_lines(spark, sf):
     path = _folder(spark)
     catalogue.write_json_lines(star.items(spark, sf), path)
@@ -399,6 +412,8 @@ _ALL = [
     source_cache,
     source_processed,
     source_json_lines,
+    source_counts,
+    source_similar,
 ]
 
 

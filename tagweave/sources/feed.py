@@ -11,6 +11,7 @@ from pyspark.sql.types import StructField, StructType, VariantType
 
 from tagweave.functions.params import parse_int
 from tagweave.schemas import EXTERNAL_FEED, EXTERNAL_RECORD
+from tagweave.sources.json_array import array_records
 
 
 def _path_missing(error: AnalysisException) -> bool:
@@ -20,9 +21,10 @@ def _path_missing(error: AnalysisException) -> bool:
 def read_external_feed(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Records of all JSON-array files that exist, ranked by their place in ``paths``.
 
-    Such a file cannot be split, so one task reads it from front to back and the generated id
-    follows its order. Large feeds come as tables instead, see ``read_feed_table``. A file that
-    is no valid JSON is an error. Counters may be numbers or text: numbers lose their fraction.
+    A path may be a file or a folder of files. ``record_seq`` follows the files' names and the
+    records' order in them, and neither the number nor the packing of tasks; large files are read
+    by several. A file that is no valid JSON is an error. Counters may be numbers or text: numbers
+    lose their fraction.
     """
     counters = ("playcount", "listeners")
     read_as = StructType(
@@ -31,15 +33,18 @@ def read_external_feed(spark: SparkSession, paths: list[str]) -> DataFrame | Non
     found = []
     for rank, path in enumerate(paths):
         try:
-            records = spark.read.schema(read_as).json(path, multiLine=True, mode="FAILFAST")
+            records = array_records(spark, path)
         except AnalysisException as error:
             if not _path_missing(error):
                 raise
             continue
+        parsed = F.from_json("record", read_as, {"mode": "FAILFAST"})
         found.append(
-            records.select(
+            records.select("record_seq", parsed.alias("r"))
+            .select("record_seq", "r.*")
+            .select(
                 F.lit(rank).alias("source_rank"),
-                F.monotonically_increasing_id().alias("record_seq"),
+                "record_seq",
                 *[_counter(c) if c in counters else F.col(c) for c in EXTERNAL_RECORD.names],
             )
         )

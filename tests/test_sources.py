@@ -67,6 +67,44 @@ def test_truncated_feed_is_an_error(spark, tmp_path):
         feed.read_external_feed(spark, [str(path)]).collect()
 
 
+def names_in_order(spark, path):
+    rows = feed.read_external_feed(spark, [str(path)]).select("record_seq", "artist_name").collect()
+    assert sorted(r.record_seq for r in rows) == list(range(len(rows)))
+    return [r.artist_name for r in sorted(rows)]
+
+
+@pytest.mark.parametrize("bytes_at_once", ["128m", "97"])
+def test_feed_order_is_that_of_names_and_places(spark, tmp_path, bytes_at_once):
+    """One, fifty and five records, with braces and quotes in strings, nested objects and line
+    breaks: in order, however the bytes are dealt."""
+    odd = ["}", "{", 'a"}{"b', "\\", '\\"}', "[{]}", "é}\n", "x" * 300]
+    want = []
+    for part, n in enumerate([1, 50, 5, 0]):
+        names = [f"{part}-{i} {odd[i % len(odd)]}" for i in range(n)]
+        records = [
+            {"artist_name": a, "release_name": "{", "similar_albums": [{"artist": "}", "title": '"'}] * (i % 3), "tags": []}
+            for i, a in enumerate(names)
+        ]
+        (tmp_path / f"part{part}.json").write_text(json.dumps(records, indent=part or None))
+        want += names
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_at_once)
+    try:
+        assert names_in_order(spark, tmp_path) == want
+        assert names_in_order(spark, tmp_path / "part1.json") == want[1:51]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+@pytest.mark.parametrize(
+    "text", ['[{"artist_name": "a"}', '[{"a": {"b": 1}]', "{}", "[{} {}]", "[1, {}]"]
+)
+def test_what_is_no_array_of_objects_is_an_error(spark, tmp_path, text):
+    (tmp_path / "feed.json").write_text(text)
+    with pytest.raises(Exception):  # noqa: B017
+        feed.read_external_feed(spark, [str(tmp_path / "feed.json")]).collect()
+
+
 def entries(spark, n=200):
     rows = [(f"k{i}", True, {"rock": 2**40}, ["rock"], [], i) for i in range(n)]
     return spark.createDataFrame(rows, CRAWL_CACHE)
