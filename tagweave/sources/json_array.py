@@ -117,8 +117,10 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
             F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("first"),
     )
+    # what is no record is null, so that a parser that runs before the filter does not see it
     return (
-        whole.filter(checked)
+        whole.withColumn("record", F.when(checked, object_))
+        .filter(F.col("record").isNotNull())
         .join(firsts, "file")
-        .select((F.col("first") + F.col("number")).alias("record_seq"), object_.alias("record"))
+        .select((F.col("first") + F.col("number")).alias("record_seq"), "record")
     )
