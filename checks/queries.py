@@ -313,14 +313,14 @@ def source_feed(spark, sf):
     records = star.external_feed(spark, sf).withColumns(
         {"playcount": F.col("playcount").cast("double"), "listeners": F.col("listeners").cast("bigint")}
     )
-    record = F.struct("record_seq", F.to_json(F.struct(*EXTERNAL_RECORD.names)).alias("json"))
-    part = F.lpad(F.pmod("record_seq", F.lit(16)).cast("string"), 2, "0")
-    arrays = (
-        records.groupBy("source_rank", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(record))["json"].alias("r"))
-        .select("source_rank", "part", F.concat(F.lit("["), F.array_join("r", ",\n"), F.lit("]")))
+    part = F.pmod("record_seq", F.lit(16)) + 100  # three digits, so that names sort as numbers
+    written = records.select(
+        "source_rank",
+        part.alias("part"),
+        "record_seq",
+        F.to_json(F.struct(*EXTERNAL_RECORD.names)).alias("json"),
     )
-    arrays.write.partitionBy("source_rank", "part").text(path)
+    catalogue.write_json_arrays(written, ["source_rank", "part"], ["record_seq", "json"], path)
     paths = [f"{path}/source_rank={rank}" for rank in (0, 1, 2)]  # the last one does not exist
     return feed.read_external_feed(spark, paths).select(
         "source_rank",

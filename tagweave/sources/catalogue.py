@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, LongType, StringType
 
@@ -83,6 +83,25 @@ def write_json_lines(items: DataFrame, path: str) -> None:
     items.write.json(path)
 
 
+def write_json_arrays(records: DataFrame, files: list[str], order: list[str], path: str) -> None:
+    """One file per value of ``files`` (folders under ``path``), each a JSON array of the column
+    ``json`` of its rows by ``order``.
+
+    Rows are sorted and written one by one: no array is ever held whole. ``files`` must not be
+    text, as the writer would sort empty names anew and by them alone.
+    """
+    nothing = {c: F.lit(None).cast(records.schema[c].dataType) for c in {*order, "json"}}
+    ends = records.select(*files).distinct().withColumns({**nothing, "_end": F.lit(1)})
+    placed = [*files, "_end", *order]
+    rows = records.withColumn("_end", F.lit(0)).unionByName(ends).repartition(*files)
+    first = F.row_number().over(Window.partitionBy(*files).orderBy("_end", *order)) == 1
+    text = F.when(F.col("_end") == 1, F.lit("]")).otherwise(
+        F.concat(F.when(first, F.lit("[")).otherwise(F.lit(",")), "json")
+    )
+    lines = rows.withColumn("value", text).sortWithinPartitions(*placed)
+    lines.select(*files, "value").write.partitionBy(*files).text(path)
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Items as written by ``write_json_lines``; a damaged line is an error."""
     return spark.read.schema(ITEMS).option("mode", "FAILFAST").json(path).select(*ITEMS.names)
