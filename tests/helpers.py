@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from tagweave.operators.features import conform
@@ -54,3 +56,15 @@ def naive_scores(weights, ratings, selected):
             score = round((raw / len(tags)) * 100.0 * min(1.0, len(tags) / 7.0))
             out.append((-score, -ratings[position][0], -ratings[position][1], position, raw))
     return [(p, raw, -score) for score, _, _, p, raw in sorted(out)]
+
+
+@contextmanager
+def plan_of_writes(spark):
+    """Texts of the plans of what is executed inside, from Spark's own store of executions."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    plans = []
+    yield plans
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = store.executionsList()
+    plans += [found.apply(i).physicalPlanDescription() for i in range(before, found.size())]

@@ -213,3 +213,33 @@ def test_numbering_of_values_far_apart(spark, bits):
     got = {(r.w, r.v): r.n for r in dense_index(keys, "v", "n", within="w", bits=bits).collect()}
     want = sorted(got)
     assert [got[k] for k in want] == list(range(1, len(values) + 1))
+
+
+def test_json_arrays_are_written_in_order_and_never_held_whole(spark, tmp_path):
+    """Several arrays, from rows in any order with equal places: a sort writes them, no list."""
+    from helpers import plan_of_writes
+
+    rows = spark.range(3000).selectExpr(
+        "cast(id % 3 as int) as file",
+        "id * 7919 % 1000 as place",
+        "concat('{\"artist_name\":\"', id * 7919 % 1000, '-', id, '\"}') as json",
+    )
+    path = str(tmp_path / "arrays")
+    with plan_of_writes(spark) as plans:
+        catalogue.write_json_arrays(rows, ["file"], ["place", "json"], path)
+    assert not any("collect_list" in p or "collect_set" in p for p in plans)
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r.file, []).append((r.place, r.json))
+    names = [json.loads(j)["artist_name"] for f in sorted(want) for _, j in sorted(want[f])]
+    assert names_in_order(spark, path) == names
+
+
+def test_feed_query_collects_no_array(spark, sf_dir):
+    from checks.queries import source_feed
+    from helpers import plan_of_writes
+
+    with plan_of_writes(spark) as plans:
+        source_feed(spark, sf_dir)
+    arrays = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "source_rank" in p and "/sources/" in p]
+    assert arrays and not any("collect_list" in p for p in arrays)
