@@ -103,24 +103,26 @@ def _crawl_rows(parts: DataFrame, title: Column, found: Column) -> DataFrame:
             F.concat("p_name", F.lit(" "), i).alias("title"),
         ),
     ).cast(SIMILAR)
-    rows = parts.select(
-        cache_key(F.col("p_brand"), title).alias("cache_key"),
-        "p_partkey",
-        F.struct(
-            found.alias("found"),
-            F.array(
-                tag(F.col("p_type"), F.col("p_size").cast("string")),
-                tag(F.lit("ok"), F.lit("1")),
-                tag(F.lit("Seen Live"), F.lit("3")),
-                tag(F.upper(first_word), F.lit("x")),
-                tag(first_word, F.lit("7")),
-            ).alias("tags"),
-            similar.alias("similar"),
-            F.col("p_size").cast("string").alias("playcount"),
-        ).alias("entry"),
+    entry = F.struct(
+        found.alias("found"),
+        F.array(
+            tag(F.col("p_type"), F.col("p_size").cast("string")),
+            tag(F.lit("ok"), F.lit("1")),
+            tag(F.lit("Seen Live"), F.lit("3")),
+            tag(F.upper(first_word), F.lit("x")),
+            tag(first_word, F.lit("7")),
+        ).alias("tags"),
+        similar.alias("similar"),
+        F.col("p_size").cast("string").alias("playcount"),
     )
+    # parts are few bytes a row, so their file may be read by one task: they are dealt as they
+    # are, and what is made of them comes after the join
+    needed = ["p_partkey", "p_brand", "p_name", "p_type", "p_size"]
+    rows = parts.select(*needed).repartition("p_partkey")
+    rows = rows.withColumn("cache_key", cache_key(F.col("p_brand"), title))
     firsts = rows.groupBy("cache_key").agg(F.min("p_partkey").alias("p_partkey"))
-    return rows.join(firsts, ["cache_key", "p_partkey"]).select("cache_key", "entry.*")
+    dealt = rows.join(firsts, ["cache_key", "p_partkey"])
+    return dealt.select("cache_key", entry.alias("entry")).select("cache_key", "entry.*")
 
 
 def raw_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:

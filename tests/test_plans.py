@@ -10,6 +10,7 @@ from checks.oracle import statements
 from checks.queries import registered
 from tagweave.operators.indexing import dense_index
 from tagweave.operators.recommend import _top
+from tagweave.plans import star
 
 PYTHON = re.compile(r"BatchEvalPython|ArrowEvalPython|MapInPandas|InPandas|InArrow")
 
@@ -77,3 +78,11 @@ def test_sql_agrees(spark, sf_dir):
         if not ok:
             wrong[name] = note
     assert not wrong
+
+
+def test_parts_are_dealt_before_crawl_rows_are_made(spark, sf_dir):
+    """A file of few bytes may be read by one task: what is made of its rows comes later."""
+    for rows in (star.raw_crawl(spark, sf_dir), star.raw_fetch(spark, sf_dir)):
+        above, *below = plan(rows).split("REPARTITION_BY_COL")
+        assert below and "playcount" in above
+        assert not any("playcount" in text or "Seen Live" in text for text in below)
