@@ -25,6 +25,8 @@ NO_LANG = "und"
 
 # Bytes hashed at once. Longer texts are cut between words; n-grams go on over the cut.
 WINDOW_BYTES = 1 << 21
+# Bytes of a window that are hashed or compared at a time: 8-byte numbers are made of these only.
+BLOCK_BYTES = 1 << 17
 # The set of frequent fingerprints is sent to the tasks as a bitmap, about 1 in SPARSE of its bits
 # set. At its largest size it lets more infrequent n-grams through, which are then counted.
 SPARSE, LEAST_BITS, MOST_BITS = 32, 16, 28
@@ -75,6 +77,15 @@ def prefix_hashes(values: np.ndarray, base: int) -> Callable[[np.ndarray, np.nda
     return lambda a, b: (prefix[b] - prefix[a]) * down[a]
 
 
+def blocks(end: np.ndarray, limit: int) -> Iterator[slice]:
+    """Slices of words that end at the bytes ``end``, of about ``limit`` bytes, at least a word."""
+    first, reached = 0, 0
+    while first < len(end):
+        last = max(first + 1, int(np.searchsorted(end, reached + limit, "right")))
+        yield slice(first, last)
+        first, reached = last, int(end[last - 1])
+
+
 class Words:
     """Words of lower-cased bytes: where they are, in which piece, their fingerprints."""
 
@@ -85,10 +96,13 @@ class Words:
         inside[1:-1] = kinds == _IN_WORD
         steps = np.diff(inside)
         self.start, self.end = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
-        self.piece = np.cumsum(kinds == _END, dtype=np.int32)[self.start] if len(kinds) else self.start
+        self.piece = np.searchsorted(np.flatnonzero(kinds == _END), self.start).astype(np.int32)
         self.bytes = np.frombuffer(data, np.uint8)
-        of_bytes = prefix_hashes(self.bytes.astype(np.uint64) + np.uint64(1), _WORD_BASE)
-        self.hash = mixed(of_bytes(self.start, self.end))
+        self.hash = np.empty(len(self.start), np.uint64)
+        for some in blocks(self.end, BLOCK_BYTES):
+            start, end = self.start[some], self.end[some]
+            values = self.bytes[start[0] : end[-1]].astype(np.uint64) + np.uint64(1)
+            self.hash[some] = mixed(prefix_hashes(values, _WORD_BASE)(start - start[0], end - start[0]))
         self.of_words = prefix_hashes(self.hash, _GRAM_BASE)
 
     def grams(self, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,10 +131,13 @@ class Words:
         like = place[rep[number]]
         size = self.end[place] - self.start[place]
         same = np.array_equal(size, self.end[like] - self.start[like])
-        if same:
-            step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            mine, theirs = (np.repeat(self.start[p], size) + step for p in (place, like))
-            same = np.array_equal(self.bytes[mine], self.bytes[theirs])
+        for some in blocks(np.cumsum(size), BLOCK_BYTES) if same else ():
+            length = size[some]
+            step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            mine, theirs = (np.repeat(self.start[p[some]], length) + step for p in (place, like))
+            if not np.array_equal(self.bytes[mine], self.bytes[theirs]):
+                same = False
+                break
         if not same:
             words = [self.data[a:b] for a, b in zip(self.start[place], self.end[place], strict=True)]
             numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -143,3 +144,24 @@ def test_empty_table(spark):
     assert collocations(docs).collect() == []
     nulls = spark.createDataFrame([(None, None, None)], SCHEMA)
     assert collocations(nulls).collect() == []
+
+
+def test_a_window_takes_few_bytes_more_than_its_words():
+    """Numbers of eight bytes are made of words and of one block of bytes, not of all bytes."""
+    rng = np.random.default_rng(6)
+    data = bytes(rng.choice(np.frombuffer(b"abcdefgh     .", np.uint8), 1 << 21))
+    data = data.replace(b" ", b"wordy ")
+    size, limit = len(data), 1 << 16
+    seen = {}
+    for block in (limit, 1 << 30):
+        module.BLOCK_BYTES, kept = block, module.BLOCK_BYTES
+        tracemalloc.start()
+        try:
+            words = Words(data)
+            seen[block] = tracemalloc.get_traced_memory()[1], words.hash, words.exact_ids(np.ones(len(words.hash), bool))
+        finally:
+            tracemalloc.stop()
+            module.BLOCK_BYTES = kept
+    (few, hashes, ids), (_, whole, same) = seen.values()
+    assert (hashes == whole).all() and (ids == same).all()
+    assert few < 16 * size
