@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import SLICE_ROWS, discard, map_rows, settle, unused
-from tagweave.session import stage
+from tagweave.llm.common import SLICE_ROWS, map_rows, settle, unused
+from tagweave.session import discard, stage
 
 # Bound of the labelled documents that training reads, the first by hash of their id.
 LABELLED = 8000

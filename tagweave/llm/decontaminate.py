@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tagweave.llm.common import SLICE_ROWS, discard, map_rows, unused
-from tagweave.session import stage
+from tagweave.llm.common import SLICE_ROWS, map_rows, unused
+from tagweave.session import discard, stage
 
 # Fixed values of the contract.
 WINDOW = 13
