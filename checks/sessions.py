@@ -14,6 +14,8 @@ def local_session(name: str, cores: str | None = None) -> SparkSession:
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # tests look up plans of executions in Spark's store, which forgets all but 1,000
+        .config("spark.sql.ui.retainedExecutions", "5000")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
