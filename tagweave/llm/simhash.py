@@ -101,7 +101,11 @@ def ring_entries(fps: DataFrame, max_distance: int) -> DataFrame:
 
 
 def _tiles(entries: DataFrame, block: int) -> DataFrame:
-    """Entries of keys that can link, with the tiles of two blocks they take part in."""
+    """Entries of keys that can link, with the tiles of two blocks they take part in.
+
+    Spark takes the exploded entries for as few rows as there are fingerprints, and would send
+    them all through the driver to broadcast them: hence the hint.
+    """
     counts = entries.groupBy("ring", "key").agg(
         F.count(F.lit(1)).alias("n"), F.max("exact").alias("some")
     )
@@ -113,7 +117,7 @@ def _tiles(entries: DataFrame, block: int) -> DataFrame:
         F.least("own", b).alias("low"), F.greatest("own", b).alias("high")
     )
     return (
-        entries.join(shared, ["ring", "key"])
+        entries.join(shared.hint("merge"), ["ring", "key"])
         .withColumn("own", own)
         .withColumn(
             "tile", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), tile))

@@ -158,3 +158,13 @@ def test_whole_table_against_all_pairs(spark, sf_dir):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {
         doc: (f"{fp:016x}", smallest[classes[fp]]) for doc, fp in prints.items()
     }
+
+
+def test_dropping_near_copies_broadcasts_no_entries(spark):
+    from helpers import plan_of_writes
+
+    docs = spark.createDataFrame([(i, f"text number {i} of its own") for i in range(50)], "doc_id bigint, text string")
+    with plan_of_writes(spark) as plans:
+        assert keep_one_each(docs).count() > 0
+    linked = [p for p in plans if "/staged/links-" in p and "MapInArrow" in p]
+    assert linked and all("SortMergeJoin" in p and "Broadcast" not in p for p in linked)
