@@ -160,6 +160,16 @@ def test_whole_table_against_all_pairs(spark, sf_dir):
     }
 
 
+def test_exploded_entries_are_never_broadcast(spark, tmp_path):
+    """Spark takes the entries, some 36 for each fingerprint, for as few rows as fingerprints."""
+    path = str(tmp_path / "fps")
+    spark.createDataFrame([(signed(n),) for n in clouds(5)], "fp bigint").write.parquet(path)
+    found = links(spark.read.parquet(path), 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.count() > 0
+
+
 def test_dropping_near_copies_broadcasts_no_entries(spark):
     from helpers import plan_of_writes
 
